@@ -8,6 +8,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -120,3 +122,33 @@ def components(edges: DataFrame) -> DataFrame:
         old, links = links, stage(rest.where("lo < hi").distinct())
         drop(old, low)
     return labels if labels is not None else links.select(F.col("lo").alias("node"), F.col("hi").alias("root"))
+
+
+def files(uri: str) -> tuple:
+    """(file system, path) of a folder in the shared storage, for real files that Python writes and reads."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri or not uri.startswith("file:") else "file://" + uri[5:])
+
+
+def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
+    """At most n - 1 ascending bounds that cut a long key into ranges of like size, from a quantile sketch over it alone."""
+    shares = [k / n for k in range(1, n)]
+    if not shares:
+        return []
+    sketch = F.percentile_approx(key, F.array(*map(F.lit, shares)), F.lit(max(10_000, 20 * n)))
+    return sorted(set(df.select(sketch).first()[0] or []))
+
+
+def range_number(bounds: list[int], key: str) -> Column:
+    """The number of a key's range, from 0; null keys are in the first."""
+    edges = np.array(bounds, np.int64)
+
+    @F.pandas_udf("int")
+    def place(keys: pd.Series) -> pd.Series:
+        known = keys.notna().to_numpy()
+        out = np.zeros(len(keys), np.int32)
+        out[known] = np.searchsorted(edges, keys[known].to_numpy(np.int64), "left")
+        return pd.Series(out)
+
+    return place(F.col(key))

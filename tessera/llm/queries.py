@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import fingerprints, language, mixing, packing, quality, token_files
+from .common import shared_dir
 from .near_dup import near_duplicates
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
+
+
+def remainder(n: int):
+    """crc32 of doc_id as text, modulo n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,8 +31,55 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the texts and labels of the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(remainder(3) == 1, F.lit(False))
+    model = language.train(docs.where(~held))
+    return language.identify(docs, model).withColumn("held_out", held)
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(remainder(5) == 0, F.lit(False))
+    model = quality.train(docs, table(spark, sf_dir, "labels").where(~held))
+    scores = quality.scored(docs, model)
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files of all documents hold, read back."""
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, TOKENIZER, END_ID)
+    return token_files.read_token_files(spark, manifest)
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    found = mixing.copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 1024 tokens."""
+    cut = packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER, 1024, END_ID)
+    return packing.pack(cut, packing.Limits(tokens=1024))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_document_fingerprints": op5_document_fingerprints,
+    "op7_token_output": op7_token_output,
+    "op9_source_mixing": op9_source_mixing,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
