@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprints, language, mixing, packing, quality, token_files
-from .common import shared_dir
+from .common import shared_dir, tuned
 from .near_dup import near_duplicates
+from .vectors import near_vectors
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -23,7 +24,7 @@ def remainder(n: int):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,11 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest)
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors with equal labels and cosines of 0.98 or more."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     found = mixing.copies(table(spark, sf_dir, "documents"))
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_token_output": op7_token_output,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
