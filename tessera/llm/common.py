@@ -29,6 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/tessera"
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """Small Arrow batches, so that a Python worker holds a few MB of texts at a time however long they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4194304")
+    return spark
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -74,7 +74,7 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     )
     asked = stage(asked)
     spark = docs.sparkSession
-    placed = docs.select("doc_id", "text").join(asked, "doc_id").repartition(partitions(spark), "c", "salt").sortWithinPartitions("c", "salt", "part", "doc_id")
+    placed = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id").repartition(partitions(spark), "c", "salt").sortWithinPartitions("c", "salt", "part", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         center, own = None, None
@@ -183,6 +183,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     hot = [r[0] for r in buckets.where(F.col("count") > floor).select("bucket").collect()]
     members = stage(lookup(spread, buckets.select("bucket", "c"), "bucket", hot=hot))
 
+    wanted = members.select(F.col("x").alias("doc_id")).distinct()
+    texts = stage(docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi"))
     links, tried, left = None, None, members
     for turn in range(star_rounds):
         pairs = left.where("x <> c").select("x", "c").distinct()
@@ -191,7 +193,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         pairs = stage(pairs)
         if not pairs.count():
             break
-        found = verified(docs, pairs, width, percent)
+        found = verified(texts, pairs, width, percent)
         links = found.where("linked").select("x", "c") if links is None else links.unionByName(found.where("linked").select("x", "c"))
         tried = found if tried is None else tried.unionByName(found)
         apart = left.where("x <> c").join(found.where("linked").select("x", "c"), ["x", "c"], "left_anti")
@@ -213,7 +215,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             pairs = _similar_in_blocks(rows_there, rest, reps).join(tried.select(F.least("x", "c").alias("c"), F.greatest("x", "c").alias("x")), ["x", "c"], "left_anti")
             pairs = stage(pairs)
             if pairs.count():
-                more = verified(docs, pairs, width, percent).where("linked").select("x", "c")
+                more = verified(texts, pairs, width, percent).where("linked").select("x", "c")
                 if more.limit(1).count():
                     links = links.unionByName(more)
                     roots = stage(components(links.select(F.col("x").alias("a"), F.col("c").alias("b"))))
