@@ -150,3 +150,16 @@ def scored(docs: DataFrame, model: QualityModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(terms)).cast(pa.int64()), score], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+
+
+def kept(docs: DataFrame, model: QualityModel, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is ``least`` or more. The rows pass through once, without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [shared.value.score(terms) >= least for _, terms in term_counts(batch.column(text))]
+            yield batch.filter(pa.array(np.concatenate(good) if good else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)

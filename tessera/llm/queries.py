@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from . import fingerprints, language, mixing, packing, quality, token_files
 from .common import shared_dir, tuned
+from .lines import line_classes
 from .near_dup import near_duplicates
+from .urls import judged_pages
 from .vectors import near_vectors
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +42,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).withColumn("held_out", held)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document, the first line of its class, and whether it is kept."""
+    return line_classes(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -54,6 +61,11 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    return judged_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the token files of all documents hold, read back."""
     folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
@@ -80,9 +92,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_url_filters": op6_url_filters,
     "op7_token_output": op7_token_output,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_source_mixing": op9_source_mixing,
