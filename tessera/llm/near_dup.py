@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from .common import components, drop, lookup, partitions, stage
 from .hashing import U, mix, shingle_sets, similarity_sketch
 
-#: Rows of a bucket that meet in one block of the last, exhaustive search.
+#: Rows of one side of a block in the last, exhaustive search.
 BLOCK_ROWS = 256
 #: Share of sketch coordinates that must agree before the last search verifies a pair.
 AGREE = 0.70
+#: Shingles of one side of such a block, about.
+BLOCK_SHINGLES = 400_000
 
 
 def sketched(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
@@ -106,15 +108,19 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     return out
 
 
-def _similar_in_blocks(rows: DataFrame, rest: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (x, c) of different components in one bucket whose sketches agree enough; x from ``rest``, c any member.
+def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (x, c) that join components within buckets: ``rest`` (some rows) against all ``rows`` (bucket, x, root).
 
-    ``rows``: (bucket, x, root) of the buckets that have rest; ``rest``: some of these rows. Blocks of BLOCK_ROWS rows meet.
+    Blocks of BLOCK_ROWS rows a side meet (fewer if they are long), with whole texts. A pair of different components is
+    compared in its first common band only: by sketch, and if that agrees enough exactly, on full sets, the likeliest
+    first; once two components are joined in a block, their other pairs there are skipped. So a block emits fewer links
+    than it has rows, however many pairs are alike.
     """
-    n_rest = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n_rest"))
-    n_all = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n_all"))
+    sized = rows.join(reps.select(F.col("doc_id").alias("x"), "n_shingles"), "x")
+    ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    n_all = sized.groupBy("bucket").agg(ways.alias("n_all"))
+    n_rest = sized.join(rest.select("bucket", "x"), ["bucket", "x"], "left_semi").groupBy("bucket").agg(ways.alias("n_rest"))
     grid = stage(n_rest.join(n_all, "bucket"))
-    sig = sigs.select(F.col("doc_id").alias("x"), "sig")
 
     def dealt(side: DataFrame, own: str, other: str, is_rest: bool) -> DataFrame:
         placed = lookup(side, grid, "bucket").withColumn("own", F.pmod(F.xxhash64("x"), own).cast("int"))
@@ -123,38 +129,66 @@ def _similar_in_blocks(rows: DataFrame, rest: DataFrame, sigs: DataFrame) -> Dat
         return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(is_rest).alias("is_rest"))
 
     both = stage(dealt(rest, "n_rest", "n_all", True).unionByName(dealt(rows, "n_all", "n_rest", False)))
-    both = lookup(both, sig, "x").select("bucket", "i", "j", "is_rest", "x", "root", "sig")
-    spark = rows.sparkSession
-    both = both.repartition(partitions(spark), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    facts = reps.select(F.col("doc_id").alias("x"), "sig", "bands").join(texts.withColumnRenamed("doc_id", "x"), "x")
+    both = both.join(facts.hint("merge"), "x").select("bucket", "i", "j", "is_rest", "x", "root", "sig", "bands", "text")
+    both = both.repartition(partitions(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "x")
 
-    def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
+    def compare(bucket: int, group: list[tuple]) -> list[tuple[int, int]]:
         left, right = [g for g in group if g[0]], [g for g in group if not g[0]]
         if not left or not right:
-            return
+            return []
         a, b = (np.stack([np.frombuffer(g[3], "<u2") for g in side]) for side in (left, right))
+        bands_a, bands_b = (np.array([g[4] for g in side]) for side in (left, right))
         roots = np.array([g[2] for g in right])
-        for row, (_, x, root, _) in zip(a, left):
-            close = ((b == row).mean(axis=1) >= AGREE) & (roots != root)
-            for k in np.flatnonzero(close).tolist():
-                yield min(x, right[k][1]), max(x, right[k][1])
+        pairs = []
+        for k, g in enumerate(left):
+            same = bands_b == bands_a[k]
+            agree = (b == a[k]).mean(axis=1)
+            fits = (bands_b[np.arange(len(b)), same.argmax(axis=1)] == bucket) & (agree >= AGREE) & (roots != g[2])
+            pairs += [(agree[m], k, m) for m in np.flatnonzero(fits).tolist()]
+        if not pairs:
+            return []
+        sets = {}
+        members = {g[1]: g[5] for g in group}
+        ids = list(members)
+        for first, found in shingle_sets(pa.array([members[i] for i in ids], pa.string()), width):
+            sets.update(zip(ids[first : first + len(found)], found))
+        top: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while top.get(x, x) != x:
+                top[x] = x = top.get(top[x], top[x])
+            return x
+
+        links = []
+        for _, k, m in sorted(pairs, reverse=True):
+            p, q = find(left[k][2]), find(right[m][2])
+            if p == q:
+                continue
+            x, y = sets[left[k][1]], sets[right[m][1]]
+            shared = len(x) + len(y) - len(np.union1d(x, y)) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
+            if 100 * shared >= percent * (len(x) + len(y) - shared):
+                top[max(p, q)] = min(p, q)
+                links.append((left[k][1], right[m][1]))
+        return links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
         for batch in batches:
-            found: set[tuple[int, int]] = set()
-            for bucket, i, j, is_rest, x, root, s in zip(*(c.to_pylist() for c in batch.columns)):
+            found: list[tuple[int, int]] = []
+            for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (bucket, i, j) != key:
-                    found.update(compare(group))
+                    found += compare(key[0], group) if key else []
                     key, group = (bucket, i, j), []
-                group.append((is_rest, x, root, s))
+                group.append(tuple(row))
             yield _pairs(found)
-        yield _pairs(set(compare(group)))
+        yield _pairs(compare(key[0], group) if key else [])
 
-    return both.mapInArrow(run, "c long, x long").distinct()
+    return both.mapInArrow(run, "x long, c long")
 
 
-def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["c", "x"])
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["x", "c"])
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 20, rows: int = 5, star_rounds: int = 2) -> DataFrame:
@@ -165,7 +199,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
 
     Equal sets are merged first, so copies cost nothing further. Every bucket of a band then compares its members with
     its smallest one only; those not linked do so again among themselves, and what is still apart after ``star_rounds``
-    is compared with its whole bucket in blocks, by sketch and then exactly. A pair at the threshold of 85 % misses all
+    is compared with its whole bucket in blocks, by sketch and then exactly (a sketch rejects a pair at 85 % once in 10,000 times). A pair at the threshold of 85 % misses all
     bands of the default banding once in 100,000 times.
 
     Null and empty texts have no shingles and are groups of their own. Rows that share a doc_id count as one node. A
@@ -176,7 +210,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     named = sketch.where("doc_id is not null and set_key is not null")
     groups = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("count")))
     hot_sets = [r[0] for r in groups.where(F.col("count") > max(200, total // 1000)).select("set_key").collect()]
-    reps = stage(named.select("doc_id", "bands", "sig").join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    reps = stage(named.select("doc_id", "n_shingles", "bands", "sig").join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     spread = reps.select(F.col("doc_id").alias("x"), F.explode("bands").alias("bucket"))
     buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"))
     floor = max(200, buckets.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] // 1000)
@@ -212,13 +246,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         if rest.count():
             there = rest.select("bucket").distinct()
             rows_there = stage(lookup(rooted, there.withColumn("there", F.lit(True)), "bucket", hot=hot).select("bucket", "x", "root"))
-            pairs = _similar_in_blocks(rows_there, rest, reps).join(tried.select(F.least("x", "c").alias("c"), F.greatest("x", "c").alias("x")), ["x", "c"], "left_anti")
-            pairs = stage(pairs)
-            if pairs.count():
-                more = verified(texts, pairs, width, percent).where("linked").select("x", "c")
-                if more.limit(1).count():
-                    links = links.unionByName(more)
-                    roots = stage(components(links.select(F.col("x").alias("a"), F.col("c").alias("b"))))
+            more = stage(_linked_in_blocks(rows_there, rest, reps, texts, width, percent))
+            if more.limit(1).count():
+                links = links.unionByName(more)
+                roots = stage(components(links.select(F.col("x").alias("a"), F.col("c").alias("b"))))
     reached = groups.select("set_key", "rep")
     if roots is not None:
         reached = reached.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("root"))
