@@ -21,3 +21,14 @@ def query(name: str, sql: str | None = None) -> Callable:
         return run
 
     return add
+
+
+def load() -> None:
+    """Imports every module that registers queries."""
+    from importlib import import_module
+
+    for name in ("research",):
+        import_module(f"{__package__}.{name}")
+
+
+load()
