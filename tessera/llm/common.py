@@ -41,10 +41,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors, keeps column pruning."""
+def stage(df: DataFrame, slim: str = "") -> DataFrame:
+    """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors, keeps column pruning.
+
+    Slim tables are written as a sixteenth of the shuffle width in files: ``merge`` lets a writer take several partitions,
+    for tables that are cheap to compute; ``deal`` shuffles the rows first, for those that are not.
+    """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    files = max(6, partitions(df.sparkSession) // 16)
+    out = df.coalesce(files) if slim == "merge" else df.repartition(files) if slim == "deal" else df
+    out.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -105,28 +111,28 @@ def components(edges: DataFrame) -> DataFrame:
     left of a component's local minima. Links of a node to itself and nulls are ignored; no links give no rows.
     """
     links = edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct()
-    links, labels = stage(links), None
+    links, labels = stage(links, "merge"), None
     while links.count():
         both = links.select(F.col("hi").alias("node"), F.col("lo").alias("to")).union(links.select("lo", "hi"))
-        tree = stage(both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("root")))
+        tree = stage(both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("root")), "merge")
         while True:
             above = tree.select(F.col("node").alias("root"), F.col("root").alias("top")).where("root <> top")
-            moved = stage(above)
+            moved = stage(above, "merge")
             if not tree.join(moved, "root", "left_semi").limit(1).count():
                 break
             jumped = lookup(tree, moved, "root", "left")
-            old, tree = tree, stage(jumped.select("node", F.coalesce("top", "root").alias("root")))
+            old, tree = tree, stage(jumped.select("node", F.coalesce("top", "root").alias("root")), "merge")
             drop(old, moved)
         if labels is None:
             labels = tree
         else:
             step = tree.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            labels = stage(lookup(labels, step, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
+            labels = stage(lookup(labels, step, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "merge")
         low = lookup(links, tree.select(F.col("node").alias("lo"), F.col("root").alias("lo_root")), "lo")
-        low = stage(low.select("hi", "lo_root"))
+        low = stage(low.select("hi", "lo_root"), "merge")
         high = lookup(low, tree.select(F.col("node").alias("hi"), F.col("root").alias("hi_root")), "hi")
         rest = high.select(F.least("lo_root", "hi_root").alias("lo"), F.greatest("lo_root", "hi_root").alias("hi"))
-        old, links = links, stage(rest.where("lo < hi").distinct())
+        old, links = links, stage(rest.where("lo < hi").distinct(), "merge")
         drop(old, low)
     return labels if labels is not None else links.select(F.col("lo").alias("node"), F.col("hi").alias("root"))
 

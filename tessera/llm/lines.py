@@ -46,7 +46,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
     The text of a c with many partners goes to several groups, each with a share of them.
     """
-    counted = stage(pairs.groupBy("c").count().withColumn("ways", F.ceil(F.col("count") / 64).cast("int")))
+    counted = stage(pairs.groupBy("c").count().withColumn("ways", F.ceil(F.col("count") / 64).cast("int")), "merge")
     spread = lookup(pairs, counted.select("c", "ways"), "c").withColumn("salt", F.pmod(F.xxhash64("x"), "ways").cast("int"))
     left = spread.select("x", "c", "salt").join(texts.select(F.col("node").alias("x"), F.col("line").alias("a")).hint("merge"), "x")
     centers = counted.select("c", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"))
@@ -55,7 +55,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     both = both.select("x", "c", F.array_distinct(shingles(F.col("a"))).alias("a"), F.array_distinct(shingles(F.col("b"))).alias("b"))
     both = both.withColumn("shared", F.size(F.array_intersect("a", "b")))
     linked = 100 * F.col("shared") >= percent * (F.size("a") + F.size("b") - F.col("shared"))
-    out = stage(both.select("x", "c", linked.alias("linked")))
+    out = stage(both.select("x", "c", linked.alias("linked")), "deal")
     drop(counted)
     return out
 
@@ -80,13 +80,13 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
     firsts = lines.select(F.col("node").alias("at"))
     spread = named.select("at", "bands").join(firsts.hint("merge"), "at", "left_semi").select(F.col("at").alias("x"), F.explode(F.array_distinct("bands")).alias("bucket"))
     spread = stage(spread)
-    buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"))
+    buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"), "merge")
     hot = hot_keys(buckets, "bucket", buckets.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
-    members = stage(lookup(spread, buckets.select("bucket", "c"), "bucket", hot=hot))
+    members = stage(lookup(spread, buckets.select("bucket", "c"), "bucket", hot=hot), "merge")
     drop(spread)
     wanted = members.select(F.col("x").alias("node")).distinct()
     places = named.select(F.col("at").alias("node"), "doc_id", "line_no", "line_key").join(wanted.hint("merge"), "node", "left_semi")
-    places = stage(places)
+    places = stage(places, "merge")
     keyed = places.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "line_key", "node")).alias("asked"))
     taken = docs.where("text is not null").select(F.col("doc_id").alias("doc"), "text").join(keyed.hint("merge"), F.col("doc").eqNullSafe(F.col("doc_id")))
     taken = taken.withColumn("rows", F.split("text", "\n")).select("rows", F.explode("asked").alias("ask"))
@@ -98,32 +98,32 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
         pairs = left.where("x <> c").select("x", "c").distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("x", "c"), ["x", "c"], "left_anti")
-        pairs = stage(pairs)
+        pairs = stage(pairs, "merge")
         if not pairs.count():
             break
         checked = _verified(texts, pairs, percent)
         good = checked.where("linked").select("x", "c")
         links = good if links is None else links.unionByName(good)
         tried = checked if tried is None else tried.unionByName(checked)
-        apart = stage(left.where("x <> c").join(good, ["x", "c"], "left_anti").select("bucket", "x"))
-        left = stage(lookup(apart, apart.groupBy("bucket").agg(F.min("x").alias("c")), "bucket"))
+        apart = stage(left.where("x <> c").join(good, ["x", "c"], "left_anti").select("bucket", "x"), "merge")
+        left = stage(lookup(apart, apart.groupBy("bucket").agg(F.min("x").alias("c")), "bucket"), "merge")
         if not left.limit(1).count():
             break
     roots = None
     if links is not None:
         roots = components(links.select(F.col("x").alias("a"), F.col("c").alias("b")))
         near = _apart(members, roots, hot).join(tried.select("x", "c"), ["x", "c"], "left_anti")
-        near = stage(near)
+        near = stage(near, "merge")
         if near.limit(1).count():
             more = _verified(texts, near, percent).where("linked").select("x", "c")
             roots = components(links.unionByName(more).select(F.col("x").alias("a"), F.col("c").alias("b")))
     classes = lines.where("count > 1") if roots is None else lines.join(roots, "node", "left").where("count > 1 or root is not null")
     root = F.col("node") if roots is None else F.coalesce("root", "node")
-    classes = stage(classes.select("line_key", root.alias("root")))
+    classes = stage(classes.select("line_key", root.alias("root")), "merge")
     slim = found.select("doc_id", "line_no", "line_key")
     rooted = stage(lookup(slim, classes, "line_key", "left", hot=hot_lines).select("doc_id", "line_no", "root"))
     heads = rooted.where("root is not null and doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    out = lookup(rooted, stage(heads), "root", "left")
+    out = lookup(rooted, stage(heads, "merge"), "root", "left")
     here = F.struct("doc_id", "line_no")
     first = F.when(F.col("doc_id").isNull() | F.col("first").isNull(), here).otherwise(F.col("first"))
     out = out.select("doc_id", "line_no", first.alias("first"))
@@ -134,9 +134,9 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
 def _apart(members: DataFrame, roots: DataFrame, hot: list) -> DataFrame:
     """Pairs (x, c) of a bucket in which x is in another component than the bucket's smallest line and c in another than x."""
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
-    rooted = stage(rooted.select("bucket", "x", "c", "root"))
+    rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
     main = rooted.where("x = c").select("bucket", F.col("root").alias("main"))
-    rest = stage(lookup(rooted, stage(main), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"))
+    rest = stage(lookup(rooted, stage(main, "merge"), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"), "merge")
     there = lookup(rooted, rest.select("bucket").distinct(), "bucket", hot=hot).select("bucket", F.col("x").alias("y"), F.col("root").alias("other"))
     pairs = rest.join(there, "bucket").where("root <> other")
     return pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("c")).distinct()

@@ -24,7 +24,7 @@ def targets(sizes: DataFrame, share: float, weights: tuple[float, ...], most: fl
     """
     named = ranked(sizes, [], [F.col("source").asc_nulls_last()], "place")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
-    rated = stage(named.select("source", "source_size", weight.cast("double").alias("weight"), (F.col("source_size") * most).alias("cap")))
+    rated = stage(named.select("source", "source_size", weight.cast("double").alias("weight"), (F.col("source_size") * most).alias("cap")), "merge")
     total = share * (rated.agg(F.sum("source_size")).first()[0] or 0)
     level = 0.0
     while True:
@@ -68,7 +68,7 @@ def copies(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (5,
     named = targets(sizes, share, weights, most)
     tag = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     facts = named.select(tag.alias("_tag"), "source_size", "target", _offset(F.col("source"), seed).alias("_offset"))
-    both = lookup(placed.withColumn("_tag", tag), stage(facts), "_tag")
+    both = lookup(placed.withColumn("_tag", tag), stage(facts, "merge"), "_tag")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     crossed = F.floor((F.col("rank") + 1) * each + F.col("_offset")) - F.floor(F.col("rank") * each + F.col("_offset"))
     out = both.withColumn("copies", crossed.cast("int"))

@@ -69,12 +69,12 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     """
     counted = pairs.groupBy("c").count()
     ways = F.when(F.col("count") <= 64 * 4096, F.ceil(F.col("count") / 64)).otherwise(F.greatest(F.lit(4096), F.ceil(F.sqrt("count"))))
-    counted = stage(counted.select("c", ways.cast("int").alias("ways"), "count"))
+    counted = stage(counted.select("c", ways.cast("int").alias("ways"), "count"), "merge")
     spread = lookup(pairs, counted, "c").withColumn("salt", F.pmod(F.xxhash64("x"), "ways").cast("int"))
     asked = spread.select(F.col("x").alias("doc_id"), "c", "salt", F.lit(1).alias("part")).unionByName(
         counted.select(F.col("c").alias("doc_id"), "c", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"), F.lit(0).alias("part"))
     )
-    asked = stage(asked)
+    asked = stage(asked, "merge")
     spark = docs.sparkSession
     placed = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id").repartition(partitions(spark), "c", "salt").sortWithinPartitions("c", "salt", "part", "doc_id")
 
@@ -103,7 +103,7 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.int64()), pa.array(out_c, pa.int64()), pa.array(out_ok, pa.bool_())], names=["x", "c", "linked"])
 
     found = placed.select("doc_id", "text", "c", "salt", "part").mapInArrow(run, "x long, c long, linked boolean")
-    out = stage(found)
+    out = stage(found, "deal")
     drop(asked, counted)
     return out
 
@@ -120,7 +120,7 @@ def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts:
     ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     n_all = sized.groupBy("bucket").agg(ways.alias("n_all"))
     n_rest = sized.join(rest.select("bucket", "x"), ["bucket", "x"], "left_semi").groupBy("bucket").agg(ways.alias("n_rest"))
-    grid = stage(n_rest.join(n_all, "bucket"))
+    grid = stage(n_rest.join(n_all, "bucket"), "merge")
 
     def dealt(side: DataFrame, own: str, other: str, is_rest: bool) -> DataFrame:
         placed = lookup(side, grid, "bucket").withColumn("own", F.pmod(F.xxhash64("x"), own).cast("int"))
@@ -128,7 +128,7 @@ def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts:
         i, j = ("own", "other") if is_rest else ("other", "own")
         return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(is_rest).alias("is_rest"))
 
-    both = stage(dealt(rest, "n_rest", "n_all", True).unionByName(dealt(rows, "n_all", "n_rest", False)))
+    both = stage(dealt(rest, "n_rest", "n_all", True).unionByName(dealt(rows, "n_all", "n_rest", False)), "merge")
     facts = reps.select(F.col("doc_id").alias("x"), "sig", "bands").join(texts.withColumnRenamed("doc_id", "x"), "x")
     both = both.join(facts.hint("merge"), "x").select("bucket", "i", "j", "is_rest", "x", "root", "sig", "bands", "text")
     both = both.repartition(partitions(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "x")
@@ -208,14 +208,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     sketch = stage(sketched(docs, width, bands, rows))
     total = sketch.count()
     named = sketch.where("doc_id is not null and set_key is not null")
-    groups = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("count")))
+    groups = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("count")), "merge")
     hot_sets = [r[0] for r in groups.where(F.col("count") > max(200, total // 1000)).select("set_key").collect()]
     reps = stage(named.select("doc_id", "n_shingles", "bands", "sig").join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     spread = reps.select(F.col("doc_id").alias("x"), F.explode("bands").alias("bucket"))
-    buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"))
+    buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"), "merge")
     floor = max(200, buckets.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] // 1000)
     hot = [r[0] for r in buckets.where(F.col("count") > floor).select("bucket").collect()]
-    members = stage(lookup(spread, buckets.select("bucket", "c"), "bucket", hot=hot))
+    members = stage(lookup(spread, buckets.select("bucket", "c"), "bucket", hot=hot), "merge")
 
     wanted = members.select(F.col("x").alias("doc_id")).distinct()
     texts = stage(docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi"))
@@ -224,38 +224,38 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         pairs = left.where("x <> c").select("x", "c").distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("x", "c"), ["x", "c"], "left_anti")
-        pairs = stage(pairs)
+        pairs = stage(pairs, "merge")
         if not pairs.count():
             break
         found = verified(texts, pairs, width, percent)
         links = found.where("linked").select("x", "c") if links is None else links.unionByName(found.where("linked").select("x", "c"))
         tried = found if tried is None else tried.unionByName(found)
         apart = left.where("x <> c").join(found.where("linked").select("x", "c"), ["x", "c"], "left_anti")
-        apart = stage(apart.select("bucket", "x"))
+        apart = stage(apart.select("bucket", "x"), "merge")
         centers = apart.groupBy("bucket").agg(F.min("x").alias("c"))
-        left = stage(lookup(apart, centers, "bucket"))
+        left = stage(lookup(apart, centers, "bucket"), "merge")
         if not left.count():
             break
     roots = None
     if links is not None:
-        roots = stage(components(links.select(F.col("x").alias("a"), F.col("c").alias("b"))))
+        roots = components(links.select(F.col("x").alias("a"), F.col("c").alias("b")))
         rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
-        rooted = stage(rooted.select("bucket", "x", "c", "root"))
-        of_center = stage(rooted.where("x = c").select("bucket", F.col("root").alias("main")))
-        rest = stage(lookup(rooted, of_center, "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"))
+        rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
+        of_center = stage(rooted.where("x = c").select("bucket", F.col("root").alias("main")), "merge")
+        rest = stage(lookup(rooted, of_center, "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"), "merge")
         if rest.count():
             there = rest.select("bucket").distinct()
-            rows_there = stage(lookup(rooted, there.withColumn("there", F.lit(True)), "bucket", hot=hot).select("bucket", "x", "root"))
-            more = stage(_linked_in_blocks(rows_there, rest, reps, texts, width, percent))
+            rows_there = stage(lookup(rooted, there.withColumn("there", F.lit(True)), "bucket", hot=hot).select("bucket", "x", "root"), "merge")
+            more = stage(_linked_in_blocks(rows_there, rest, reps, texts, width, percent), "deal")
             if more.limit(1).count():
                 links = links.unionByName(more)
-                roots = stage(components(links.select(F.col("x").alias("a"), F.col("c").alias("b"))))
+                roots = components(links.select(F.col("x").alias("a"), F.col("c").alias("b")))
     reached = groups.select("set_key", "rep")
     if roots is not None:
         reached = reached.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("root"))
     else:
         reached = reached.withColumnRenamed("rep", "root")
     slim = sketch.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
-    out = lookup(slim, stage(reached), "set_key", "left", hot=hot_sets)
+    out = lookup(slim, stage(reached, "merge"), "set_key", "left", hot=hot_sets)
     out = out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

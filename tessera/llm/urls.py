@@ -84,18 +84,18 @@ def judged_pages(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
     ones = [F.count("*").alias("n"), F.count_if(F.col("ruled") == "block").alias("bad"), F.count_if(F.col("ruled") == "allow").alias("good")]
     tree = parsed.groupBy("leaf", "host", "segments").agg(*ones).withColumn("prefix", F.lit(""))
-    tree = stage(tree)
+    tree = stage(tree, "merge")
     depth = tree.agg(F.max(F.size("segments"))).first()[0] or 0
     sums = [F.sum(c).alias(c) for c in ("n", "bad", "good")]
     for level in range(depth):
         child = F.when(F.size("segments") > level, F.try_element_at(F.col("segments"), F.lit(level + 1)))
         here = tree.withColumn("child", child).withColumn("node", _key(F.col("host"), F.col("prefix")))
         branches = here.where("child is not null").groupBy("node", "child").agg(*sums)
-        branches = stage(branches.withColumn("kind", _key(*(F.round(4 * F.col(c) / F.col("n")).cast("int").cast("string") for c in ("bad", "good")))))
+        branches = stage(branches.withColumn("kind", _key(*(F.round(4 * F.col(c) / F.col("n")).cast("int").cast("string") for c in ("bad", "good")))), "merge")
         totals = branches.groupBy("node").agg(F.count("*").alias("kids"), F.sum("n").alias("all"))
         pools = branches.groupBy("node", "kind").agg(F.count("*").alias("alike"), *(F.sum(c).alias(f"pool_{c}") for c in ("n", "bad", "good")))
-        sized = lookup(branches, stage(totals), "node").withColumn("pool", _key(F.col("node"), F.col("kind")))
-        sized = lookup(stage(sized), stage(pools.select(_key(F.col("node"), F.col("kind")).alias("pool"), "alike", "pool_n", "pool_bad", "pool_good")), "pool")
+        sized = lookup(branches, stage(totals, "merge"), "node").withColumn("pool", _key(F.col("node"), F.col("kind")))
+        sized = lookup(stage(sized, "merge"), stage(pools.select(_key(F.col("node"), F.col("kind")).alias("pool"), "alike", "pool_n", "pool_bad", "pool_good"), "merge"), "pool")
 
         def gap(value: Column, pool: Column) -> Column:
             expected = F.col("n") * (pool + 1.0) / (F.col("pool_n") + 3.0)
@@ -107,17 +107,17 @@ def judged_pages(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
         variable = (F.col("kids") > MANY) & (F.col("n") <= F.greatest(F.lit(2.0), RARE * F.col("all")))
         merged = (F.col("alike") > 1) & (distance <= CRITICAL)
         name = F.when(variable, F.lit("*")).when(merged, F.concat(F.lit("*"), F.translate("kind", "\u0001", ""))).otherwise(F.col("child"))
-        names = stage(sized.select(_key(F.col("node"), F.col("child")).alias("edge"), name.alias("name")))
-        here = stage(here.withColumn("edge", _key(F.col("node"), F.col("child"))))
+        names = stage(sized.select(_key(F.col("node"), F.col("child")).alias("edge"), name.alias("name")), "merge")
+        here = stage(here.withColumn("edge", _key(F.col("node"), F.col("child"))), "merge")
         found = lookup(here, names, "edge", "left")
         step = F.when(F.col("child").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), F.coalesce("name", "child")))
-        tree = stage(found.select("leaf", "host", "segments", "n", "bad", "good", step.alias("prefix")))
+        tree = stage(found.select("leaf", "host", "segments", "n", "bad", "good", step.alias("prefix")), "merge")
 
     tree = tree.withColumn("node", _key(F.col("host"), F.col("prefix")))
     templates = tree.groupBy("node").agg(*sums)
     purity = (F.col("good") + STRENGTH * PRIOR) / (F.col("good") + F.col("bad") + STRENGTH)
-    templates = stage(templates.select("node", F.when(purity < LEAST, F.lit("block")).otherwise(F.lit("allow")).alias("judged")))
-    leaves = stage(lookup(tree.select("leaf", "node", "prefix"), templates, "node").select("leaf", F.col("prefix").alias("template"), "judged"))
+    templates = stage(templates.select("node", F.when(purity < LEAST, F.lit("block")).otherwise(F.lit("allow")).alias("judged")), "merge")
+    leaves = stage(lookup(tree.select("leaf", "node", "prefix"), templates, "node").select("leaf", F.col("prefix").alias("template"), "judged"), "merge")
     out = lookup(parsed, leaves, "leaf", "left")
     verdict = F.coalesce("ruled", "judged", F.lit("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.when(F.col("host") != "", F.col("template")).alias("template"))

@@ -147,7 +147,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-5
     base = base.withColumn("print", F.when(usable, F.md5(F.concat(F.to_json(F.struct("label")), F.to_json(F.struct("embedding"))))))
     base = stage(base.select("vec_id", "embedding", "label", "print"))
     found = base.where("print is not null")
-    groups = stage(found.groupBy("print").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")))
+    groups = stage(found.groupBy("print").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "merge")
     named = groups.select(F.col("rep").alias("vec_id"), F.col("print"), "weight")
     own = found.join(named, ["vec_id", "print"]).dropDuplicates(["vec_id", "print"])
     own = own.select(F.col("vec_id").alias("rep"), "label", F.col("embedding").cast(kind), "weight")
@@ -155,16 +155,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-5
     bits, tables = plan_tables(largest, threshold, miss)
     keyed = stage(_keyed(own, bits, tables, seed))
     spread = keyed.select("rep", F.posexplode("keys").alias("t", "bucket"))
-    counted = stage(spread.groupBy("bucket").count().where("count > 1"))
+    counted = stage(spread.groupBy("bucket").count().where("count > 1"), "merge")
     pairs_in = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     hot = hot_keys(counted, "bucket", pairs_in)
-    members = stage(lookup(spread, counted.select("bucket"), "bucket", hot=hot).select("bucket", "t", "rep"))
+    members = stage(lookup(spread, counted.select("bucket"), "bucket", hot=hot).select("bucket", "t", "rep"), "merge")
     grid = counted.select("bucket", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("ways"))
-    linked = stage(_blocks(members, stage(grid), keyed.select("rep", "embedding", "weight", "keys"), threshold))
+    linked = stage(_blocks(members, stage(grid, "merge"), keyed.select("rep", "embedding", "weight", "keys"), threshold), "deal")
     sums = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     facts = groups.join(sums, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     facts = facts.select("print", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
-    out = lookup(base.select("vec_id", "print"), stage(facts), "print", "left")
+    out = lookup(base.select("vec_id", "print"), stage(facts, "merge"), "print", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
