@@ -12,7 +12,7 @@ BROADCAST_BYTES = 32 << 20
 def small(df: DataFrame) -> bool:
     """Whether the optimizer's estimate of a table is below BROADCAST_BYTES."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= BROADCAST_BYTES
+    return int(str(size)) <= BROADCAST_BYTES
 
 
 def asof_join(

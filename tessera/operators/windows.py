@@ -63,10 +63,17 @@ def ew_rms(x: Column, position: Column, before: WindowSpec, half_life: float, le
     return F.when(position - 1 >= least, F.sqrt(total * scale))
 
 
-def guarded_corr(x: str, y: str, w: WindowSpec, least: int) -> Column:
-    """Correlation over a frame; null below ``least`` pairs or if either side is constant."""
-    moves = (F.stddev_samp(x).over(w) > 0) & (F.stddev_samp(y).over(w) > 0)
-    return F.when((F.count(F.when(F.col(y).isNotNull(), F.col(x))).over(w) >= least) & moves, F.corr(x, y).over(w))
+def safe_corr(x: Column, y: Column) -> Column:
+    """Correlation of pairs, null if either side is constant. An aggregate; never divides by zero, also in ANSI mode."""
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
+def rolling_corr(x: str, y: str, w: WindowSpec, least: int) -> Column:
+    """Correlation over a frame of the rows that have both; null below ``least`` pairs or if either side is constant."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(both, F.col(x)), F.when(both, F.col(y))
+    spread = F.sqrt(F.var_pop(a).over(w) * F.var_pop(b).over(w))
+    return F.when(F.count(a).over(w) >= least, F.try_divide(F.covar_pop(a, b).over(w), spread))
 
 
 def newest(df: DataFrame, by: list[str], *order: Column) -> DataFrame:

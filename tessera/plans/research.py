@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import month_number, normal_p
 from ..operators.reshape import unpivot_known
-from ..operators.windows import average_rank, bucket, enough, guarded_corr, ordered, trailing
+from ..operators.windows import average_rank, bucket, enough, ordered, safe_corr, trailing
+from ..operators.windows import rolling_corr as rolling_corr_over
 from .panel import PANEL, RETS, panel, returns, table
 from .registry import query
 
@@ -20,7 +21,7 @@ SIGNALS = ["reversal_1", "reversal_5", "momentum", "vol_20", "amihud_20", "high_
 
 SIGNALS_SQL = f"""{RETS}, signals AS (
   SELECT key, date, i, close, dollar_volume, ret,
-    round(-ret, 8) AS reversal_1,
+    -ret AS reversal_1,
     round(-(close / lag(close, 5) OVER w - 1), 8) AS reversal_5,
     round(lag(close, 1) OVER w / lag(close, 12) OVER w - 1, 8) AS momentum,
     CASE WHEN count(ret) OVER w20 >= 20 THEN round(stddev_samp(ret) OVER w20, 8) END AS vol_20,
@@ -50,7 +51,7 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "close",
         "dollar_volume",
         "ret",
-        F.round(-F.col("ret"), 8).alias("reversal_1"),
+        (-F.col("ret")).alias("reversal_1"),
         F.round(-(F.col("close") / back(5) - 1), 8).alias("reversal_5"),
         F.round(back(1) / back(12) - 1, 8).alias("momentum"),
         enough(F.round(F.stddev_samp("ret").over(w20), 8), seen, 20).alias("vol_20"),
@@ -107,8 +108,7 @@ def daily_ic(spark: SparkSession, sf_dir: str, least: int = 3) -> DataFrame:
     """Rank correlation of each signal with the next return across keys, per session."""
     rows = ranked_panel(spark, sf_dir).where("fwd_1 is not null")
     rows = rows.select("signal", "date", average_rank(["signal", "date"], "value").alias("rv"), average_rank(["signal", "date"], "fwd_1").alias("rl"))
-    moves = (F.stddev_samp("rv") > 0) & (F.stddev_samp("rl") > 0)
-    both = rows.groupBy("signal", "date").agg(F.count("*").alias("n"), F.round(F.when(moves, F.corr("rv", "rl")), 6).alias("ic"))
+    both = rows.groupBy("signal", "date").agg(F.count("*").alias("n"), F.round(safe_corr(F.col("rv"), F.col("rl")), 6).alias("ic"))
     return both.where(F.col("n") >= least)
 
 
@@ -239,8 +239,7 @@ def rank_correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = sorted(SIGNALS)
     pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y")) for i, a in enumerate(names) for b in names[i + 1 :]]
     long = wide.select("date", F.inline(F.array(*pairs))).where("x is not null and y is not null")
-    moves = (F.stddev_samp("x") > 0) & (F.stddev_samp("y") > 0)
-    daily = long.groupBy("a", "b", "date").agg(F.count("*").alias("n"), F.when(moves, F.corr("x", "y")).alias("c")).where("n >= 3")
+    daily = long.groupBy("a", "b", "date").agg(F.count("*").alias("n"), safe_corr(F.col("x"), F.col("y")).alias("c")).where("n >= 3")
     return daily.groupBy("a", "b").agg(F.count("c").alias("n_days"), F.round(F.avg("c"), 6).alias("mean_corr"))
 
 
@@ -340,7 +339,7 @@ def rolling_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = returns(spark, sf_dir)
     mkt = rows.where("ret is not null").groupBy("date").agg(F.avg("ret").alias("mkt"))
     w = trailing(by_key(), 21)
-    return rows.join(mkt, "date").select("key", "date", F.round(guarded_corr("mkt", "ret", w, 12), 6).alias("c"))
+    return rows.join(mkt, "date").select("key", "date", F.round(rolling_corr_over("mkt", "ret", w, 12), 6).alias("c"))
 
 
 @query(
