@@ -411,14 +411,14 @@ def holdings_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "etf_flow_split_guard",
     f"""WITH {PANEL}, l AS (SELECT key, date, close, volume, lag(close) OVER w AS c0, lag(volume) OVER w AS v0 FROM panel WINDOW w AS (PARTITION BY key ORDER BY date))
-SELECT key, date, CASE WHEN c0 IS NULL THEN NULL WHEN abs(ln(close / c0)) > 0.2 AND abs(ln(close * volume / (c0 * v0))) < 0.1 THEN NULL ELSE round((volume - v0) * close, 7) END AS flow FROM l""",
+SELECT key, date, CASE WHEN c0 IS NULL THEN NULL WHEN abs(ln(close / c0)) > 0.2 AND abs(ln(close * volume / (c0 * v0))) < 0.1 THEN NULL ELSE (volume - v0) * close END AS flow FROM l""",
 )
 def etf_flow_split_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change in units times price, unless a large price move left the total unchanged, which looks like a split."""
     w = by_key()
     rows = panel(spark, sf_dir).select("key", "date", "close", "volume", F.lag("close").over(w).alias("c0"), F.lag("volume").over(w).alias("v0"))
     split = (F.abs(F.ln(F.col("close") / F.col("c0"))) > 0.2) & (F.abs(F.ln(F.col("close") * F.col("volume") / (F.col("c0") * F.col("v0")))) < 0.1)
-    return rows.select("key", "date", F.when(F.col("c0").isNotNull() & ~split, F.round((F.col("volume") - F.col("v0")) * F.col("close"), 7)).alias("flow"))
+    return rows.select("key", "date", F.when(F.col("c0").isNotNull() & ~split, (F.col("volume") - F.col("v0")) * F.col("close")).alias("flow"))
 
 
 @query(
