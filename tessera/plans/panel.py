@@ -13,12 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, sf_dir: str, key: str = "l_suppkey") -> DataFrame:
-    """One row per key and month: key, date, close, volume, dollar_volume, n."""
+    """One row per key and month: key, date, close, volume, dollar_volume, n_lines."""
     lines = table(spark, sf_dir, "lineitem")
     month = F.trunc("l_shipdate", "month").alias("date")
     value, volume = F.sum("l_extendedprice"), F.sum("l_quantity")
     grouped = lines.groupBy(F.col(key).cast("long").alias("key"), month)
-    return grouped.agg((F.round(value, 2) / F.round(volume, 2)).alias("close"), F.round(volume, 2).alias("volume"), F.round(value, 2).alias("dollar_volume"), F.count("*").alias("n"))
+    return grouped.agg((F.round(value, 2) / F.round(volume, 2)).alias("close"), F.round(volume, 2).alias("volume"), F.round(value, 2).alias("dollar_volume"), F.count("*").alias("n_lines"))
 
 
 def returns(spark: SparkSession, sf_dir: str, key: str = "l_suppkey") -> DataFrame:
@@ -32,7 +32,7 @@ def panel_sql(key: str = "l_suppkey") -> str:
     return f"""panel AS (
   SELECT CAST({key} AS BIGINT) AS key, CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
          round(sum(l_extendedprice), 2) / round(sum(l_quantity), 2) AS close, round(sum(l_quantity), 2) AS volume,
-         round(sum(l_extendedprice), 2) AS dollar_volume, count(*) AS n
+         round(sum(l_extendedprice), 2) AS dollar_volume, count(*) AS n_lines
   FROM lineitem GROUP BY 1, 2)"""
 
 

@@ -374,10 +374,10 @@ def top_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "unpivot_factor_returns",
-    f"WITH {PANEL}, u AS (SELECT key, date, close, volume, CASE WHEN n > 5 THEN CAST(n AS DOUBLE) END AS lines FROM panel) SELECT key, date, factor, value FROM u UNPIVOT (value FOR factor IN (close, volume, lines))",
+    f"WITH {PANEL}, u AS (SELECT key, date, close, volume, CASE WHEN n_lines > 5 THEN CAST(n_lines AS DOUBLE) END AS lines FROM panel) SELECT key, date, factor, value FROM u UNPIVOT (value FOR factor IN (close, volume, lines))",
 )
 def unpivot_factor_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = panel(spark, sf_dir).withColumn("lines", F.when(F.col("n") > 5, F.col("n").cast("double")))
+    rows = panel(spark, sf_dir).withColumn("lines", F.when(F.col("n_lines") > 5, F.col("n_lines").cast("double")))
     return unpivot_known(rows, ["key", "date"], ["close", "volume", "lines"], "factor", "value")
 
 
