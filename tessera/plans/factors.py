@@ -256,14 +256,14 @@ def portfolio_variance_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "attribution_two_ways",
     f"""WITH {RETS}, j AS (SELECT date, n_regionkey AS region, ret, dollar_volume AS w FROM rets JOIN supplier ON s_suppkey = key JOIN nation ON n_nationkey = s_nationkey WHERE ret IS NOT NULL)
-SELECT date, CAST(region AS BIGINT) AS region, count(*) AS n, round(avg(ret), 10) AS equal_ret, round(sum(w * ret) / sum(w), 8) AS weighted_ret, round(sum(w) / sum(sum(w)) OVER (PARTITION BY date), 8) AS share FROM j GROUP BY 1, 2""",
+SELECT date, CAST(region AS BIGINT) AS region, count(*) AS n, round(avg(ret), 12) AS equal_ret, round(sum(w * ret) / sum(w), 8) AS weighted_ret, round(sum(w) / sum(sum(w)) OVER (PARTITION BY date), 8) AS share FROM j GROUP BY 1, 2""",
 )
 def attribution_two_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     places = table(spark, sf_dir, "supplier").join(nations, F.col("n_nationkey") == F.col("s_nationkey")).select(F.col("s_suppkey").alias("key"), F.col("n_regionkey").cast("long").alias("region"))
     rows = returns(spark, sf_dir).where("ret is not null").join(places, "key")
     w = F.col("dollar_volume")
-    grouped = rows.groupBy("date", "region").agg(F.count("*").alias("n"), F.round(F.avg("ret"), 10).alias("equal_ret"), F.round(F.sum(w * F.col("ret")) / F.sum(w), 8).alias("weighted_ret"), F.sum(w).alias("w"))
+    grouped = rows.groupBy("date", "region").agg(F.count("*").alias("n"), F.round(F.avg("ret"), 12).alias("equal_ret"), F.round(F.sum(w * F.col("ret")) / F.sum(w), 8).alias("weighted_ret"), F.sum(w).alias("w"))
     return grouped.withColumn("share", F.round(F.col("w") / F.sum("w").over(Window.partitionBy("date")), 8)).drop("w")
 
 

@@ -27,7 +27,7 @@ def load() -> None:
     """Imports every module that registers queries."""
     from importlib import import_module
 
-    for name in ("research", "relational", "factors"):
+    for name in ("research", "relational", "factors", "lake"):
         import_module(f"{__package__}.{name}")
 
 
