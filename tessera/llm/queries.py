@@ -103,4 +103,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+#: All pairs in SQL, for the small tables that the driver compares.
+COMPONENTS = """reach AS (SELECT id AS node, id AS root FROM ids UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1)"""
+
+ORACLES: dict[str, str] = {
+    "op4_minhash_near_dedup": f"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents), s AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 3 THEN list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w), u AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2), links AS (
+  SELECT a, b FROM p WHERE 100 * c >= 85 * (na + nb - c)), ids AS (SELECT doc_id AS id FROM documents), {COMPONENTS}
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN roots ON node = doc_id""",
+    "op8_embedding_near_dedup": f"""WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98), ids AS (SELECT vec_id AS id FROM embeddings), {COMPONENTS}
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN roots ON node = vec_id""",
+    "op9_source_mixing": """WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS w FROM d GROUP BY 1), o AS (
+  SELECT *, sum(2.0 * source_size) OVER c AS capped, sum(w) OVER () - sum(w) OVER c AS open_w, 1.5 * sum(source_size) OVER () AS total, 2.0 * source_size / w AS ratio FROM s WINDOW c AS (ORDER BY 2.0 * source_size / w, source NULLS LAST)), l AS (
+  SELECT min(CASE WHEN lv >= ratio AND lv <= next_ratio THEN lv END) AS level FROM (
+    SELECT (total - capped) / nullif(open_w, 0) AS lv, ratio, lead(ratio) OVER (ORDER BY ratio, source NULLS LAST) AS next_ratio FROM o
+    UNION ALL SELECT any_value(total) / sum(w), 0, min(ratio) FROM o) x), t AS (
+  SELECT source, source_size, least(2.0 * source_size, w * level) AS target FROM s, l), r AS (
+  SELECT doc_id, size, source_size, target, row_number() OVER (PARTITION BY source ORDER BY size, doc_id) - 1 AS place, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS each,
+    CAST('0x' || substr(md5('17:' || coalesce(source, '')), 1, 8) AS BIGINT) / 4294967296.0 AS shift FROM d JOIN t USING (source))
+SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(size * (floor((place + 1) * each + shift) - floor(place * each + shift)) AS BIGINT) AS taken FROM r""",
+}
