@@ -16,6 +16,8 @@ from .common import components, drop, hot_keys, lookup, stage
 SHINGLE, BANDS, ROWS = 8, 10, 4
 #: First characters of the shingles that signatures use: a third of Latin letters and digits, and everything beyond ASCII.
 STARTS = r"[aeimquyAEIMQUY159\x{80}-\x{10FFFF}]"
+#: Lines and characters of one side of a block in the last search, about.
+BLOCK_ROWS, BLOCK_CHARS = 128, 250_000
 #: Points on the circle of signed 64-bit hashes, from its start, at equal distances.
 POINTS = [-(2**63) + j * (2**64 // BANDS) for j in range(BANDS)]
 
@@ -112,11 +114,10 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
     roots = None
     if links is not None:
         roots = components(links.select(F.col("x").alias("a"), F.col("c").alias("b")))
-        near = _apart(members, roots, hot).join(tried.select("x", "c"), ["x", "c"], "left_anti")
-        near = stage(near, "merge")
-        if near.limit(1).count():
-            more = _verified(texts, near, percent).where("linked").select("x", "c")
-            roots = components(links.unionByName(more).select(F.col("x").alias("a"), F.col("c").alias("b")))
+        merged = _merged_in_blocks(members, roots, named.select(F.col("at").alias("x"), "bands"), texts, percent, hot)
+        if merged is not None:
+            links = links.select(F.col("x").alias("a"), F.col("c").alias("b")).unionByName(merged)
+            roots = components(links)
     classes = lines.where("count > 1") if roots is None else lines.join(roots, "node", "left").where("count > 1 or root is not null")
     root = F.col("node") if roots is None else F.coalesce("root", "node")
     classes = stage(classes.select("line_key", root.alias("root")), "merge")
@@ -131,15 +132,58 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
     return out.select("doc_id", "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), kept.alias("kept"))
 
 
-def _apart(members: DataFrame, roots: DataFrame, hot: list) -> DataFrame:
-    """Pairs (x, c) of a bucket in which x is in another component than the bucket's smallest line and c in another than x."""
+def _merged_in_blocks(members: DataFrame, roots: DataFrame, bands: DataFrame, texts: DataFrame, percent: int, hot: list) -> DataFrame | None:
+    """Links (a, b) between roots of different components that have alike lines in one bucket; None if nothing is left.
+
+    Lines outside their bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS
+    lines a side; two such lines meet once. A pair is compared in its smallest common bucket only, on the sets of 64-bit hashes
+    of all its shingles. A block states which components meet, not its pairs.
+    """
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
     rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
-    main = rooted.where("x = c").select("bucket", F.col("root").alias("main"))
+    sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     rest = stage(lookup(rooted, stage(main, "merge"), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"), "merge")
-    there = lookup(rooted, rest.select("bucket").distinct(), "bucket", hot=hot).select("bucket", F.col("x").alias("y"), F.col("root").alias("other"))
-    pairs = rest.join(there, "bucket").where("root <> other")
-    return pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("c")).distinct()
+    if not rest.limit(1).count():
+        return None
+    busy = main.join(rest.select("bucket").distinct(), "bucket", "left_semi")
+    there = stage(lookup(rooted, stage(busy, "merge"), "bucket", hot=hot).select("bucket", "x", "root", (F.col("root") != F.col("main")).alias("apart")), "merge")
+    sized = there.join(texts.select(F.col("node").alias("x"), F.length("line").alias("n")), "x")
+    ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_CHARS)).cast("int")
+    n_all = sized.groupBy("bucket").agg(ways.alias("n_all"))
+    n_rest = sized.join(rest.select("bucket", "x"), ["bucket", "x"], "left_semi").groupBy("bucket").agg(ways.alias("n_rest"))
+    grid = stage(n_rest.join(n_all, "bucket"), "merge")
+
+    def dealt(side: DataFrame, own: str, other: str, is_rest: bool) -> DataFrame:
+        placed = lookup(side, grid, "bucket").withColumn("own", F.pmod(F.xxhash64("x"), own).cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        i, j = ("own", "other") if is_rest else ("other", "own")
+        return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), "apart", F.lit(is_rest).alias("is_rest"))
+
+    both = dealt(rest.withColumn("apart", F.lit(True)), "n_rest", "n_all", True).unionByName(dealt(there, "n_all", "n_rest", False))
+    hashed = F.array_distinct(F.transform(shingles(F.col("line")), lambda v: F.xxhash64(v)))
+    facts = texts.select(F.col("node").alias("x"), hashed.alias("s")).join(bands, "x")
+    row = F.struct("is_rest", "apart", "root", "bands", "s")
+    blocks = both.join(stage(facts).hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
+
+    def alike(a: Column, b: Column, bucket: Column) -> Column:
+        shared = F.size(F.array_intersect(a["s"], b["s"]))
+        sizes = 100 * F.least(F.size(a["s"]), F.size(b["s"])) >= percent * F.greatest(F.size(a["s"]), F.size(b["s"]))
+        first = F.array_min(F.array_intersect(a["bands"], b["bands"])) == bucket
+        return sizes & first & (100 * shared >= percent * (F.size(a["s"]) + F.size(b["s"]) - shared))
+
+    blocks = blocks.select("bucket", F.filter("rows", lambda r: r["is_rest"]).alias("left"), F.filter("rows", lambda r: ~r["is_rest"]).alias("right"))
+    found = F.flatten(
+        F.transform(
+            "left",
+            lambda a: F.transform(
+                F.array_distinct(F.transform(F.filter("right", lambda b: F.when(b["apart"], a["root"] < b["root"]).otherwise(F.lit(True)) & alike(a, b, F.col("bucket"))), lambda b: b["root"])),
+                lambda o: F.struct(a["root"].alias("a"), o.alias("b")),
+            ),
+        )
+    )
+    merged = stage(blocks.select(F.explode(F.array_distinct(found)).alias("link")).select("link.*").distinct(), "merge")
+    return merged if merged.limit(1).count() else None
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:

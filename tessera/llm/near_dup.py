@@ -241,7 +241,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         roots = components(links.select(F.col("x").alias("a"), F.col("c").alias("b")))
         rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
         rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
-        of_center = stage(rooted.where("x = c").select("bucket", F.col("root").alias("main")), "merge")
+        sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        of_center = stage(sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main")), "merge")
         rest = stage(lookup(rooted, of_center, "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"), "merge")
         if rest.count():
             there = rest.select("bucket").distinct()
