@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.sources import readers
+from tessera.sources.datasets import open_lake, read, tickers_on
 from tessera.sources.lake import AuditFailed, Dataset, Lake, MissingPartition, Rule, bar_rules, fill, newest_pull, restatement, violations
 from tessera.streaming.incremental import fill_available
 
@@ -152,3 +153,18 @@ def test_readers(spark, tmp_path):
     assert [(r.name, r.cusip, r.valUSD, r.pctVal) for r in got] == [("Acme", None, 9.5, None), ("Beta", "037833100", None, 1.25)]
     names = spark.createDataFrame([("brk b",), ("BRK/B",), ("-",), (" A ",)], "s string").select(readers.ticker_symbol(F.col("s")).alias("t"))
     assert [r.t for r in names.collect()] == ["BRK.B", "BRK.B", None, "A"]
+
+
+def test_every_dataset_has_a_reader(spark, tmp_path):
+    lake = open_lake(spark, str(tmp_path))
+    assert len(lake.datasets) == 18
+    for name, ds in lake.datasets.items():
+        if ds.key is None:
+            assert read(lake, name).dtypes == [(f.name, f.dataType.simpleString()) for f in ds.schema]
+            with pytest.raises(TypeError):
+                read(lake, name, D1)
+        else:
+            with pytest.raises(MissingPartition):
+                read(lake, name, D1)
+    lake.publish("tickers", spark.createDataFrame([("A", True, D1)], "ticker string, active boolean, date date"))
+    assert tickers_on(lake, D1).count() == 1

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import normal_p, par_bond_return, safe_div, two_sided_z
-from tessera.operators import risk
+from tessera.operators import allocate, risk
 from tessera.operators.joins import asof_join, span_join, trailing_sum
 from tessera.operators.regress import cross_section, eigenportfolios, newey_west, ridge, rolling_ridge, standardized
 from tessera.operators.reshape import chain_roots, unpivot_known
+from tessera.operators.robust import clipped, weighted_median
 from tessera.operators.simulate import Book, backtest, bootstrap_paths, trade_cost
 from tessera.operators.windows import average_rank, bucket
 
@@ -231,3 +232,37 @@ def test_bootstrap_does_not_depend_on_partitions(spark):
     b = bootstrap_paths(spark, returns, np.array([0.5, 0.5]), 50, 24, 6.0).orderBy("path").toPandas()
     spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
     assert a.equals(b) and a.final.mean() == pytest.approx(1.01**24, rel=0.1) and (a.drawdown <= 0).all()
+
+
+def test_allocations():
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=(6, 6))
+    cov, mean = a @ a.T + np.eye(6), rng.normal(0.1, 0.1, 6)
+    for w in (allocate.minimum_variance(cov), allocate.equal_risk(cov), allocate.most_diversified(cov), allocate.mean_variance(mean, cov), allocate.resampled(mean, cov, 60, 5)):
+        assert w.sum() == pytest.approx(1) and w.min() >= -1e-12
+    least = allocate.minimum_variance(cov)
+    for _ in range(200):
+        other = rng.dirichlet(np.ones(6))
+        assert least @ cov @ least <= other @ cov @ other + 1e-9
+    assert risk.variance_split(allocate.equal_risk(cov), cov) == pytest.approx(np.full(6, 1 / 6), abs=1e-6)
+    bench = np.full(6, 1 / 6)
+    near = allocate.within_tracking_error(mean, cov, bench, 0.05)
+    assert np.sqrt((near - bench) @ cov @ (near - bench)) <= 0.0501 and near @ mean > bench @ mean
+    line = allocate.frontier(mean, cov)
+    assert all(x[0] <= y[0] + 1e-6 and x[1] <= y[1] + 1e-6 for x, y in zip(line, line[1:]))
+
+
+def test_holding_rules():
+    returns = np.tile([0.1, 0.0], (24, 1))
+    never, yearly, drift = (allocate.held(returns, np.array([0.5, 0.5]), rule) for rule in ("never", "yearly", "drift"))
+    assert never[-1] == pytest.approx(0.5 * 1.1**24 + 0.5) and never[-1] > yearly[-1] > drift[-1]
+    assert yearly[12] == pytest.approx(never[12])
+    with pytest.raises(ValueError):
+        allocate.held(returns, np.array([1.0, 0.0]), "daily")
+
+
+def test_weighted_medians_and_clipping(spark):
+    df = spark.createDataFrame([(1, 1.0, 1.0), (1, 2.0, 1.0), (1, 50.0, 1.5), (1, None, 9.0), (2, 4.0, 1.0), (2, 4.0, 1.0)], "g int, x double, w double")
+    assert {r.g: r.m for r in weighted_median(df, ["g"], "x", "w", "m").collect()} == {1: 2.0, 2: 4.0}
+    got = sorted((r.x, r.c) for r in clipped(df, ["g"], "x", "w", 2.0, "c").where("x is not null").collect())
+    assert got == [(1.0, 1.0), (2.0, 2.0), (4.0, 4.0), (4.0, 4.0), (50.0, pytest.approx(2 + 2 * 1.4826 * 1.0))]
