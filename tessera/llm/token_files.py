@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -132,7 +133,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
         with fs.open_output_stream(part) as out:
             for piece in file_bytes(np.concatenate(doc_ids), np.array(lengths), ids):
                 out.write(piece)
-        fs.move(part, f"{path}/tokens-{shard:06d}.bin")
+        try:
+            fs.move(part, f"{path}/tokens-{shard:06d}.bin")
+        except OSError:  # another attempt of this task was first, with the same bytes
+            if fs.get_file_info(f"{path}/tokens-{shard:06d}.bin").type == FileType.NotFound:
+                raise
+            fs.delete_file(part)
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64())], names=["shard", "n"])
 
     rows = sorted(tuple(r) for r in dealt.mapInArrow(run, "shard int, n long").collect())
