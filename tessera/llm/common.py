@@ -5,6 +5,7 @@ Nothing here collects data that grows with the corpus: the driver sees counts an
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,13 +45,17 @@ def partitions(spark: SparkSession) -> int:
 def stage(df: DataFrame, slim: str = "") -> DataFrame:
     """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors, keeps column pruning.
 
-    Slim tables are written as a sixteenth of the shuffle width in files: ``merge`` lets a writer take several partitions,
+    Shuffle files that nothing refers to any more are dropped after a table that is not slim, rather than whenever the
+    driver happens to collect its garbage. Slim tables are written as a sixteenth of the shuffle width in files: ``merge`` lets a writer take several partitions,
     for tables that are cheap to compute; ``deal`` shuffles the rows first, for those that are not.
     """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    files = max(6, partitions(df.sparkSession) // 16)
+    files = max(2, partitions(df.sparkSession) // 16)
     out = df.coalesce(files) if slim == "merge" else df.repartition(files) if slim == "deal" else df
     out.write.parquet(path)
+    if not slim:
+        gc.collect()
+        df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
