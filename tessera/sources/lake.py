@@ -120,6 +120,13 @@ class Lake:
         inside = calendar.where(F.col("date").between(F.lit(start or first), F.lit(end or last)))
         return inside.join(F.broadcast(have), "date", "left_anti")
 
+    def sizes(self, name: str) -> DataFrame:
+        """Files, bytes and rows of each partition (of the table, if it has none)."""
+        ds = self.datasets[name]
+        rows = self.read(name).select(*([ds.key] if ds.key else []), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+        files = rows.groupBy(*([ds.key] if ds.key else []), "file", "bytes").agg(F.count("*").alias("rows"))
+        return files.groupBy(*([ds.key] if ds.key else [])).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+
     def publish(self, name: str, rows: DataFrame, rules: list[Rule] = (), order: list[str] = (), replace: bool = False) -> list[dt.date]:
         """Stages, audits, then publishes by rename. Partitions that exist stay as they are unless ``replace``.
 
@@ -228,3 +235,13 @@ def fill(lake: Lake, name: str, dates: list[dt.date], build: Callable[[dt.date],
         except Exception as error:  # any failure of one date is its own
             failed[date] = f"{type(error).__name__}: {error}"
     return done, failed
+
+
+def thinned(dates: list[dt.date], today: dt.date, daily: int = 14, monthly: int = 12) -> list[dt.date]:
+    """The pulls to keep: all of the last ``daily`` days, the last of each of the last ``monthly`` months before, the first ever."""
+    keep = {d for d in dates if (today - d).days <= daily} | set(sorted(dates)[:1])
+    last_of: dict[tuple[int, int], dt.date] = {}
+    for d in sorted(dates):
+        last_of[d.year, d.month] = d
+    months = {(today.year * 12 + today.month - 1 - k) for k in range(monthly)}
+    return sorted(keep | {d for (y, m), d in last_of.items() if y * 12 + m - 1 in months})

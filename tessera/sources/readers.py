@@ -111,3 +111,55 @@ def ticker_symbol(raw: Column) -> Column:
     """A share class as point suffix: ``BRK B`` and ``BRK/B`` are ``BRK.B``; empty and dashes are null."""
     joined = F.regexp_replace(F.upper(F.trim(raw)), r"[ /]+", ".")
     return F.when(~joined.isin("", "-", "--"), joined)
+
+
+def preamble_csv(spark: SparkSession, path: str, first: str = "Ticker") -> DataFrame:
+    """A table inside a CSV file: lines before the header (which starts with ``first``) and from the first blank line or
+    footnote after it are left out. All columns are strings, with ``file``; thousands separators are kept for the caller.
+
+    One file is one row of binaryFile, parsed on the executors into rows of a map and then projected.
+    """
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+
+        for batch in batches:
+            out = []
+            for file, content in zip(batch["path"], batch["content"]):
+                header: list[str] | None = None
+                for at, cells in enumerate(csv.reader(io.StringIO(content.decode("utf-8-sig")))):
+                    if header is None:
+                        header = [c.strip() for c in cells] if cells and cells[0].strip() == first else None
+                    elif len(cells) < len(header) or not any(c.strip() for c in cells):
+                        break
+                    else:
+                        out.append((file.rsplit("/", 1)[-1], at, dict(zip(header, (c.strip() for c in cells)))))
+            yield pd.DataFrame(out, columns=["file", "line", "cells"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    rows = files.mapInPandas(parse, "file string, line int, cells map<string,string>")
+    names = sorted(r[0] for r in rows.select(F.explode(F.map_keys("cells"))).distinct().collect())
+    return rows.select("file", "line", *[F.nullif(F.col("cells")[n], F.lit("")).alias(n) for n in names])
+
+
+def category_tree(tree: dict, above: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """(member, path of names) of a nested tree of categories: nodes have name, members and children."""
+    path = (*above, tree.get("name", ""))
+    found = [(m, "/".join(p for p in path if p)) for m in tree.get("members", [])]
+    for child in tree.get("children", []):
+        found += category_tree(child, path)
+    return found
+
+
+def best_listing(rows: DataFrame, code: str = "cusip") -> DataFrame:
+    """One listing per code: US composites first, then shares before other kinds, then by symbol."""
+    order = F.struct(F.coalesce(F.col("exchange") != "US", F.lit(True)), F.coalesce(F.col("security_type") != "Common Stock", F.lit(True)), F.coalesce("ticker", F.lit("~")))
+    return rows.groupBy(code).agg(F.min_by(F.struct(*[c for c in rows.columns if c != code]), order).alias("r")).select(code, "r.*")
+
+
+def filing_list(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of an Atom list of filings: accession, form, filed; newest first by value, not by place."""
+    kind = "id string, updated string, `filing-date` string, `filing-type` string, `accession-number` string, content struct<`accession-number`:string,`filing-date`:string,`filing-type`:string>"
+    rows = spark.read.format("xml").option("rowTag", "entry").option("ignoreNamespace", True).schema(kind).load(path)
+    pick = lambda n: F.coalesce(F.col(f"content.`{n}`"), F.col(f"`{n}`"))
+    return rows.select(pick("accession-number").alias("accession"), pick("filing-type").alias("form"), pick("filing-date").try_cast("date").alias("filed"))

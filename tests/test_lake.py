@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from tessera.sources import readers
 from tessera.sources.datasets import open_lake, read, tickers_on
-from tessera.sources.lake import AuditFailed, Dataset, Lake, MissingPartition, Rule, bar_rules, fill, newest_pull, restatement, violations
+from tessera.sources.lake import AuditFailed, Dataset, Lake, MissingPartition, Rule, bar_rules, fill, newest_pull, restatement, thinned, violations
+from tessera.sources.payload import payload
 from tessera.streaming.incremental import fill_available
 
 KIND = "ticker string, open double, high double, low double, close double, volume double, date date"
@@ -168,3 +169,34 @@ def test_every_dataset_has_a_reader(spark, tmp_path):
                 read(lake, name, D1)
     lake.publish("tickers", spark.createDataFrame([("A", True, D1)], "ticker string, active boolean, date date"))
     assert tickers_on(lake, D1).count() == 1
+
+
+def test_more_readers(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('Fund Holdings as of,"Jan 02, 2024"\n\nTicker,Name,Weight\nAAA,"Alpha, Inc",1.5\nBBB,,2.5\n\nThe content is copyrighted\n')
+    got = readers.preamble_csv(spark, str(tmp_path / "h.csv")).orderBy("line").collect()
+    assert [(r.Ticker, r.Name, r.Weight) for r in got] == [("AAA", "Alpha, Inc", "1.5"), ("BBB", None, "2.5")]
+    tree = {"name": "All", "children": [{"name": "Equity", "members": ["A"], "children": [{"name": "US", "members": ["B", "C"]}]}, {"name": "Bond", "members": ["D"]}]}
+    assert readers.category_tree(tree) == [("A", "All/Equity"), ("B", "All/Equity/US"), ("C", "All/Equity/US"), ("D", "All/Bond")]
+    kind = "cusip string, exchange string, security_type string, ticker string"
+    listings = spark.createDataFrame([("1", "LN", "Common Stock", "A"), ("1", "US", "ADR", "B"), ("1", "US", "Common Stock", "C"), ("2", None, None, None)], kind)
+    assert {(r.cusip, r.ticker) for r in readers.best_listing(listings).collect()} == {("1", "C"), ("2", None)}
+    (tmp_path / "a.atom").write_text('<feed><entry><content type="text/xml"><accession-number>0001-24-1</accession-number><filing-date>2024-01-05</filing-date><filing-type>NPORT-P</filing-type></content></entry></feed>')
+    got = readers.filing_list(spark, str(tmp_path / "a.atom")).collect()
+    assert [(r.accession, r.form, r.filed) for r in got] == [("0001-24-1", "NPORT-P", D3)]
+
+
+def test_sizes_and_retention(spark, lake):
+    lake.publish("bars", bars(spark, D1, D2))
+    got = {r.date: r for r in lake.sizes("bars").collect()}
+    assert {d: r.rows for d, r in got.items()} == {D1: 3, D2: 3} and all(r.bytes > 0 and r.files >= 1 for r in got.values())
+    days = [dt.date(2022, 1, 1) + dt.timedelta(days=3 * k) for k in range(300)]
+    kept = thinned(days, dt.date(2024, 6, 15))
+    assert kept[0] == days[0] and set(kept) <= set(days) and len([d for d in kept if d.year == 2023]) == 6
+    assert [d for d in days if (dt.date(2024, 6, 15) - d).days <= 14] == [d for d in kept if d >= dt.date(2024, 6, 1)]
+
+
+def test_payload(spark):
+    text = payload({"a": spark.createDataFrame([(1, float("nan"), D1, [1.0, None])], "k int, x double, d date, l array<double>"), "b": spark.range(0)})
+    assert json.loads(text) == {"a": [{"k": 1, "x": None, "d": "2024-01-02", "l": [1.0, None]}], "b": []}
+    with pytest.raises(ValueError):
+        payload({"big": spark.range(20_000)})

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalar import normal_p, par_bond_return, safe_div, two_sided_z
 from tessera.operators import allocate, risk
+from tessera.operators.learn import boosted_walk_forward
 from tessera.operators.joins import asof_join, span_join, trailing_sum
 from tessera.operators.regress import cross_section, eigenportfolios, newey_west, ridge, rolling_ridge, standardized
 from tessera.operators.reshape import chain_roots, unpivot_known
@@ -266,3 +267,12 @@ def test_weighted_medians_and_clipping(spark):
     assert {r.g: r.m for r in weighted_median(df, ["g"], "x", "w", "m").collect()} == {1: 2.0, 2: 4.0}
     got = sorted((r.x, r.c) for r in clipped(df, ["g"], "x", "w", 2.0, "c").where("x is not null").collect())
     assert got == [(1.0, 1.0), (2.0, 2.0), (4.0, 4.0), (4.0, 4.0), (50.0, pytest.approx(2 + 2 * 1.4826 * 1.0))]
+
+
+def test_boosted_walk_forward(spark):
+    rng = np.random.default_rng(9)
+    x = rng.random((400, 2))
+    data = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": np.where(x[:, 0] > 0.5, 1.0, 0.0), "p": np.arange(400) // 100})
+    data["ends"] = data.p
+    got = boosted_walk_forward(spark.createDataFrame(data), ["a", "b"], "y", "p", "ends", [0, 1, 3], trees=3).toPandas()
+    assert sorted(got.p.unique()) == [1, 3] and ((got.score > 0.5) == (got.y > 0.5)).mean() > 0.95
