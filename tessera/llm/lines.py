@@ -18,6 +18,8 @@ SHINGLE, BANDS, ROWS = 8, 12, 3
 STARTS = r"[aeimyAEIMY159\x{80}-\x{10FFFF}]"
 #: Lines and characters of one side of a block in the last search, about.
 BLOCK_ROWS, BLOCK_CHARS = 128, 250_000
+#: Longs of an odd sketch.
+ODD_WORDS = 16
 #: Points on the circle of signed 64-bit hashes, from its start, at equal distances.
 POINTS = [-(2**63) + j * (2**64 // BANDS) for j in range(BANDS)]
 
@@ -138,12 +140,25 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
     return out.select("doc_id", "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), kept.alias("kept"))
 
 
+def _odd_sketches(texts: DataFrame) -> DataFrame:
+    """Adds n (distinct shingles) and odd to lines: ODD_WORDS longs in which each shingle flips the bit it is hashed to.
+
+    Two sets differ in at least as many shingles as their sketches in bits, so many bits that differ rule a pair out.
+    """
+    each = texts.select("node", F.explode(hashed(shingles(F.col("line")))).alias("h"))
+    word = F.pmod(F.shiftright("h", 8), F.lit(ODD_WORDS))
+    flip = F.expr("shiftleft(1L, cast(pmod(h, 64) as int))")
+    words = [F.bit_xor(F.when(word == j, flip).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(ODD_WORDS)]
+    sketches = each.groupBy("node").agg(F.count("*").cast("int").alias("n"), *words)
+    return texts.join(sketches.select("node", "n", F.array(*[f"w{j}" for j in range(ODD_WORDS)]).alias("odd")), "node")
+
+
 def _merged_in_blocks(members: DataFrame, roots: DataFrame, bands: DataFrame, texts: DataFrame, percent: int, hot: list) -> DataFrame | None:
     """Links (a, b) between roots of different components that have alike lines in one bucket; None if nothing is left.
 
     Lines outside their bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS
-    lines a side; two such lines meet once. A pair is compared in its smallest common bucket only, on the sets of 64-bit hashes
-    of all its shingles. A block states which components meet, not its pairs.
+    lines a side; two such lines meet once. A pair is compared in its smallest common bucket only, first by odd
+    sketches, which rule out no alike pair, then on the sets of 64-bit hashes of all its shingles. A block states which components meet, not its pairs.
     """
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
     rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
@@ -167,17 +182,20 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, bands: DataFrame, te
         return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), "apart", F.lit(is_rest).alias("is_rest"))
 
     both = dealt(rest.withColumn("apart", F.lit(True)), "n_rest", "n_all", True).unionByName(dealt(there, "n_all", "n_rest", False))
-    facts = texts.select(F.col("node").alias("x"), "line").join(bands, "x")
-    row = F.struct("is_rest", "apart", "root", "bands", "line")
+    facts = _odd_sketches(texts.join(there.select(F.col("x").alias("node")).distinct().hint("merge"), "node", "left_semi"))
+    facts = stage(facts.withColumnRenamed("node", "x").join(bands, "x"))
+    row = F.struct("is_rest", "apart", "root", "bands", "odd", "n", "line")
     blocks = both.join(facts.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
-    full = F.transform("rows", lambda r: F.struct(r["is_rest"].alias("is_rest"), r["apart"].alias("apart"), r["root"].alias("root"), r["bands"].alias("bands"), hashed(shingles(r["line"])).alias("s")))
+    full = F.transform("rows", lambda r: F.struct(r["is_rest"].alias("is_rest"), r["apart"].alias("apart"), r["root"].alias("root"), r["bands"].alias("bands"), r["odd"].alias("odd"), r["n"].alias("n"), hashed(shingles(r["line"])).alias("s")))
     blocks = blocks.select("bucket", full.alias("rows"))
 
     def alike(a: Column, b: Column, bucket: Column) -> Column:
-        shared = F.size(F.array_intersect(a["s"], b["s"]))
-        sizes = 100 * F.least(F.size(a["s"]), F.size(b["s"])) >= percent * F.greatest(F.size(a["s"]), F.size(b["s"]))
+        total = a["n"] + b["n"]
+        differ = F.aggregate(F.zip_with(a["odd"], b["odd"], lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
+        close = (100 + percent) * differ <= (100 - percent) * total
         first = F.array_min(F.array_intersect(a["bands"], b["bands"])) == bucket
-        return sizes & first & (100 * shared >= percent * (F.size(a["s"]) + F.size(b["s"]) - shared))
+        shared = F.size(F.array_intersect(a["s"], b["s"]))
+        return close & first & (100 * shared >= percent * (total - shared))
 
     blocks = blocks.select("bucket", F.filter("rows", lambda r: r["is_rest"]).alias("left"), F.filter("rows", lambda r: ~r["is_rest"]).alias("right"))
     found = F.flatten(
