@@ -61,30 +61,40 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        out: list[bytes | None] = [None] * len(texts)
-        odd, pending = [], 0
+        """The ids of each text. What no text before had is encoded together, once for all texts given."""
+        out: list[bytes] = [b""] * len(texts)
+        odd: list[int] = []
+        waiting: list[tuple[int, list, list[tuple[int, str]]]] = []
+        fresh: dict[str, None] = {}
+        known = self.known
         for k, text in enumerate(texts):
             if not self.by_piece or _ODD.search(text):
                 odd.append(k)
-                pending += len(text)
-                if pending > _GROUP:
-                    for i, ids in zip(odd, self._whole([texts[i] for i in odd])):
-                        out[i] = ids
-                    odd, pending = [], 0
                 continue
             pieces = _PIECES.findall(text)
+            found = list(map(known.get, pieces))
             try:
-                out[k] = b"".join(map(self.known.__getitem__, pieces))
-            except KeyError:
-                new = self._learn([p for p in dict.fromkeys(pieces) if p not in self.known])
-                if len(self.known) + len(new) > _MOST:
-                    self.known.clear()
-                    new = self._learn(list(dict.fromkeys(pieces)))
-                out[k] = b"".join([self.known[p] if p in self.known else new[p] for p in pieces])
-                self.known.update((p, ids) for p, ids in new.items() if len(p) <= _LONGEST)
-        for i, ids in zip(odd, self._whole([texts[i] for i in odd]) if odd else []):
-            out[i] = ids
+                out[k] = b"".join(found)
+            except TypeError:  # some are None
+                gaps = [(i, pieces[i]) for i, ids in enumerate(found) if ids is None]
+                waiting.append((k, found, gaps))
+                fresh.update(dict.fromkeys([p for _, p in gaps]))
+        new = self._learn(list(fresh)) if fresh else {}
+        for k, found, gaps in waiting:
+            for i, p in gaps:
+                found[i] = new[p]
+            out[k] = b"".join(found)
+        if len(known) + len(new) > _MOST:
+            known.clear()
+        known.update((p, ids) for p, ids in new.items() if len(p) <= _LONGEST)
+        group, size = [], 0
+        for at, k in enumerate(odd, 1):
+            group.append(k)
+            size += len(texts[k])
+            if size > _GROUP or at == len(odd):
+                for i, ids in zip(group, self._whole([texts[i] for i in group])):
+                    out[i] = ids
+                group, size = [], 0
         return out
 
 
