@@ -5,9 +5,11 @@ Nothing here collects data that grows with the corpus: the driver sees counts an
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,6 +44,27 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: While set, the paths of staged tables are noted in it.
+_noted: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Notes the staged tables that the block makes, so that a caller who knows when they are read can delete them."""
+    _noted.append(paths)
+    try:
+        yield
+    finally:
+        _noted.pop()
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes staged tables by path."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, slim: str = "") -> DataFrame:
     """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors, keeps column pruning.
 
@@ -50,6 +73,8 @@ def stage(df: DataFrame, slim: str = "") -> DataFrame:
     for tables that are cheap to compute; ``deal`` shuffles the rows first, for those that are not.
     """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    if _noted:
+        _noted[-1].append(path)
     files = max(2, partitions(df.sparkSession) // 16)
     out = df.coalesce(files) if slim == "merge" else df.repartition(files) if slim == "deal" else df
     out.write.parquet(path)

@@ -61,7 +61,6 @@ def copies(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (5,
     order = [F.col("size"), F.col("doc_id")] + ([F.xxhash64("_row")] if keep else [])
     placed = ranked(slim, ["source"], order)
     if keep:
-        placed = stage(placed)
         sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
     else:
         sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
