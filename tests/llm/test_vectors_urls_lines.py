@@ -145,6 +145,22 @@ def test_fuzzy_lines_of_one_group(spark):
     assert len(wrong) <= 2  # a pair may miss all bands; here several paths join each class
 
 
+def test_short_and_digit_only_lines_equal_all_pairs(spark):
+    """Near copies whose shingles are few, or follow no vowel: another end, a character more."""
+    rng = random.Random(8)
+    docs = []
+    for signs, sizes in (("0234678", (12, 16, 19, 24, 40, 70)), ("bcdfghjk ", (12, 16, 19, 24, 40, 70)), ("0123456789", (12, 14, 18, 30)), ("abcdefghijk", (12, 14, 18, 30))):
+        for size in sizes:
+            for _ in range(15):
+                base = "".join(rng.choice(signs) for _ in range(size - 2)) + "zz"
+                near = [base, base[:-1] + "q", base + "x", "x" + base]
+                docs += [(len(docs) + i, line) for i, line in enumerate(rng.sample(near, 4))]
+    want = plain_lines(docs, 80)
+    assert len(set(want.values())) < 0.6 * len(want)
+    got = lines.line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in got} == want
+
+
 def test_lines_of_odd_rows(spark):
     docs = odd_documents(spark)
     got = lines.line_classes(docs).collect()
