@@ -14,14 +14,12 @@ from .hashing import U, mix, shingle_sets, similarity_sketch
 
 #: Rows of one side of a block in the last, exhaustive search.
 BLOCK_ROWS = 256
-#: Share of sketch coordinates that must agree before the last search verifies a pair.
-AGREE = 0.70
 #: Shingles of one side of such a block, about.
 BLOCK_SHINGLES = 400_000
 
 
 def sketched(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, set_key (128 bits of the shingle set), bands, sig (16 bits a coordinate).
+    """One row per document: doc_id, n_shingles, set_key (128 bits of the shingle set), bands.
 
     Null, empty and white-space texts have no shingles, a null set_key and no bands.
     """
@@ -45,19 +43,17 @@ def sketched(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 for salt in (U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179)):
                     total = np.concatenate([np.zeros(1, U), np.cumsum(mix(values ^ salt))])
                     keys.append(mix(total[ends[1:]] - total[ends[:-1]] + n.astype(U)))
-                small = (sketch & U(0xFFFF)).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, len(sets)).cast(pa.int64()),
                         pa.array(n, pa.int64()),
                         pa.array([f"{a:016x}{b:016x}" if k else None for a, b, k in zip(keys[0].tolist(), keys[1].tolist(), n)]),
                         pa.array([r if k else [] for r, k in zip(folded.view(np.int64).tolist(), n)], pa.list_(pa.int64())),
-                        pa.array([r.tobytes() for r in small], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "bands", "sig"],
+                    names=["doc_id", "n_shingles", "set_key", "bands"],
                 )
 
-    schema = "doc_id long, n_shingles long, set_key string, bands array<long>, sig binary"
+    schema = "doc_id long, n_shingles long, set_key string, bands array<long>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -112,9 +108,8 @@ def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts:
     """Links (x, c) that join components within buckets: ``rest`` (some rows) against all ``rows`` (bucket, x, root).
 
     Blocks of BLOCK_ROWS rows a side meet (fewer if they are long), with whole texts. A pair of different components is
-    compared in its first common band only: by sketch, and if that agrees enough exactly, on full sets, the likeliest
-    first; once two components are joined in a block, their other pairs there are skipped. So a block emits fewer links
-    than it has rows, however many pairs are alike.
+    compared in its first common band only, on full sets; once two components are joined in a block, their other pairs
+    there are skipped. So a block emits fewer links than it has rows, however many pairs are alike.
     """
     sized = rows.join(reps.select(F.col("doc_id").alias("x"), "n_shingles"), "x")
     ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
@@ -129,30 +124,39 @@ def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts:
         return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(is_rest).alias("is_rest"))
 
     both = stage(dealt(rest, "n_rest", "n_all", True).unionByName(dealt(rows, "n_all", "n_rest", False)), "merge")
-    facts = reps.select(F.col("doc_id").alias("x"), "sig", "bands").join(texts.withColumnRenamed("doc_id", "x"), "x")
-    both = both.join(facts.hint("merge"), "x").select("bucket", "i", "j", "is_rest", "x", "root", "sig", "bands", "text")
+    facts = reps.select(F.col("doc_id").alias("x"), "bands").join(texts.withColumnRenamed("doc_id", "x"), "x")
+    both = both.join(facts.hint("merge"), "x").select("bucket", "i", "j", "is_rest", "x", "root", "bands", "text")
     both = both.repartition(partitions(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "x")
 
     def compare(bucket: int, group: list[tuple]) -> list[tuple[int, int]]:
         left, right = [g for g in group if g[0]], [g for g in group if not g[0]]
         if not left or not right:
             return []
-        a, b = (np.stack([np.frombuffer(g[3], "<u2") for g in side]) for side in (left, right))
-        bands_a, bands_b = (np.array([g[4] for g in side]) for side in (left, right))
+        bands_a, bands_b = (np.array([g[3] for g in side]) for side in (left, right))
         roots = np.array([g[2] for g in right])
-        pairs = []
+        fits = []
         for k, g in enumerate(left):
             same = bands_b == bands_a[k]
-            agree = (b == a[k]).mean(axis=1)
-            fits = (bands_b[np.arange(len(b)), same.argmax(axis=1)] == bucket) & (agree >= AGREE) & (roots != g[2])
-            pairs += [(agree[m], k, m) for m in np.flatnonzero(fits).tolist()]
-        if not pairs:
+            fits.append(np.flatnonzero((bands_b[np.arange(len(right)), same.argmax(axis=1)] == bucket) & (roots != g[2])))
+        if not any(map(len, fits)):
             return []
-        sets = {}
-        members = {g[1]: g[5] for g in group}
-        ids = list(members)
-        for first, found in shingle_sets(pa.array([members[i] for i in ids], pa.string()), width):
-            sets.update(zip(ids[first : first + len(found)], found))
+        members = {g[1]: g[4] for g in group}
+        ids, sets = list(members), []
+        for _, found in shingle_sets(pa.array([members[i] for i in ids], pa.string()), width):
+            sets += found
+        values, place = np.unique(np.concatenate(sets), return_inverse=True)
+        places = dict(zip(ids, np.split(place, np.cumsum([len(x) for x in sets])[:-1])))
+        own, others = [places[g[1]] for g in left], [places[g[1]] for g in right]
+        sizes = np.array([len(x) for x in others])
+        alike = []
+        for k, ms in enumerate(fits):
+            ms = ms[(100 * sizes[ms] >= percent * len(own[k])) & (100 * len(own[k]) >= percent * sizes[ms])]
+            if len(ms):
+                there = np.zeros(len(values), np.int64)
+                there[own[k]] = 1
+                starts = np.concatenate([[0], np.cumsum(sizes[ms])[:-1]])
+                shared = np.add.reduceat(there[np.concatenate([others[m] for m in ms])], starts)
+                alike += [(k, m) for m in ms[100 * shared >= percent * (len(own[k]) + sizes[ms] - shared)].tolist()]
         top: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -161,13 +165,9 @@ def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts:
             return x
 
         links = []
-        for _, k, m in sorted(pairs, reverse=True):
+        for k, m in alike:
             p, q = find(left[k][2]), find(right[m][2])
-            if p == q:
-                continue
-            x, y = sets[left[k][1]], sets[right[m][1]]
-            shared = len(x) + len(y) - len(np.union1d(x, y)) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
-            if 100 * shared >= percent * (len(x) + len(y) - shared):
+            if p != q:
                 top[max(p, q)] = min(p, q)
                 links.append((left[k][1], right[m][1]))
         return links
@@ -199,8 +199,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
 
     Equal sets are merged first, so copies cost nothing further. Every bucket of a band then compares its members with
     its smallest one only; those not linked do so again among themselves, and what is still apart after ``star_rounds``
-    is compared with its whole bucket in blocks, by sketch and then exactly (a sketch rejects a pair at 85 % once in 10,000 times). A pair at the threshold of 85 % misses all
-    bands of the default banding once in 100,000 times.
+    is compared with its whole bucket in blocks, exactly. A pair at 85 % misses all bands of the default banding once in
+    100,000 times, one at 80 % once in 2,800.
 
     Null and empty texts have no shingles and are groups of their own. Rows that share a doc_id count as one node. A
     null doc_id has a null component and is kept. An empty table gives no rows.
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     named = sketch.where("doc_id is not null and set_key is not null")
     groups = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("count")), "merge")
     hot_sets = [r[0] for r in groups.where(F.col("count") > max(200, total // 1000)).select("set_key").collect()]
-    reps = stage(named.select("doc_id", "n_shingles", "bands", "sig").join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    reps = stage(named.select("doc_id", "n_shingles", "bands").join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     spread = reps.select(F.col("doc_id").alias("x"), F.explode("bands").alias("bucket"))
     buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"), "merge")
     floor = max(200, buckets.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] // 1000)

@@ -37,6 +37,29 @@ def test_chains_in_one_group_of_near_copies(spark):
         assert got == want
 
 
+def test_pairs_that_only_the_last_search_meets(spark):
+    """Pairs at 60 to 65 % in buckets crowded by smaller ids that are less alike."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(120)]
+
+    def changed(text, n):
+        out = list(text)
+        for at in rng.choice(120, size=n, replace=False):
+            out[at] = f"x{rng.integers(10**9)}"
+        return out
+
+    texts = [changed(words, 7) for _ in range(60)]
+    for _ in range(12):
+        texts.append(changed(words, 7))
+        texts.append(changed(texts[-1], 9))
+    texts += [[f"u{i}" for i in range(120)], [f"u{i}" for i in range(119)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want = helpers.components(range(len(rows)), alike([(i, shingles(t, 3)) for i, t in rows], 60))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, 3, 60, bands=100, rows=1, star_rounds=1).collect()}
+    assert got == want
+
+
 def test_odd_rows(spark):
     rows = near_duplicates(odd_documents(spark), 3, 85).collect()
     assert len(rows) == len(helpers.ODD) + 2
