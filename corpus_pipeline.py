@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import lines, mixing, packing, quality
 from tessera.llm.common import noting, release, stage, tuned
@@ -46,9 +47,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_tidy
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    gone = stage(near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id"))
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates stays, whether ids repeat or not."""
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    gone = stage(near_duplicates(rows, width=5, percent=80, row="_row").where("not kept").select("_row"))
+    return rows.join(gone.hint("merge"), "_row", "left_anti").select(*docs.columns)
 
 
 @_tidy

@@ -18,8 +18,8 @@ BLOCK_ROWS = 256
 BLOCK_SHINGLES = 400_000
 
 
-def sketched(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, set_key (128 bits of the shingle set), bands.
+def sketched(docs: DataFrame, width: int, bands: int, rows: int, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, text_key (64 bits), row (if named), n_shingles, set_key (128 bits of the shingle set), bands.
 
     Null, empty and white-space texts have no shingles, a null set_key and no bands.
     """
@@ -45,19 +45,20 @@ def sketched(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                     keys.append(mix(total[ends[1:]] - total[ends[:-1]] + n.astype(U)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, len(sets)).cast(pa.int64()),
+                        *[batch.column(i).slice(first, len(sets)).cast(pa.int64()) for i in (0, *range(2, batch.num_columns))],
                         pa.array(n, pa.int64()),
                         pa.array([f"{a:016x}{b:016x}" if k else None for a, b, k in zip(keys[0].tolist(), keys[1].tolist(), n)]),
                         pa.array([r if k else [] for r, k in zip(folded.view(np.int64).tolist(), n)], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "bands"],
+                    names=["doc_id", "text_key", *own, "n_shingles", "set_key", "bands"],
                 )
 
-    schema = "doc_id long, n_shingles long, set_key string, bands array<long>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    own = [row] if row else []
+    schema = f"doc_id long, text_key long, {''.join(f'`{r}` long, ' for r in own)}n_shingles long, set_key string, bands array<long>"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), *own).mapInArrow(run, schema)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+def verified(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (x, c) with linked: 100 * |intersection| >= percent * |union| of their full shingle sets.
 
     Whole texts travel to their pairs once per pair; the texts of a c with many partners go to several groups, each
@@ -67,12 +68,12 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     ways = F.when(F.col("count") <= 64 * 4096, F.ceil(F.col("count") / 64)).otherwise(F.greatest(F.lit(4096), F.ceil(F.sqrt("count"))))
     counted = stage(counted.select("c", ways.cast("int").alias("ways"), "count"), "merge")
     spread = lookup(pairs, counted, "c").withColumn("salt", F.pmod(F.xxhash64("x"), "ways").cast("int"))
-    asked = spread.select(F.col("x").alias("doc_id"), "c", "salt", F.lit(1).alias("part")).unionByName(
-        counted.select(F.col("c").alias("doc_id"), "c", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"), F.lit(0).alias("part"))
+    asked = spread.select(F.col("x").alias("node"), "c", "salt", F.lit(1).alias("part")).unionByName(
+        counted.select(F.col("c").alias("node"), "c", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"), F.lit(0).alias("part"))
     )
     asked = stage(asked, "merge")
-    spark = docs.sparkSession
-    placed = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id").repartition(partitions(spark), "c", "salt").sortWithinPartitions("c", "salt", "part", "doc_id")
+    spark = texts.sparkSession
+    placed = texts.select("node", "text").join(asked.hint("merge"), "node").repartition(partitions(spark), "c", "salt").sortWithinPartitions("c", "salt", "part", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         center, own = None, None
@@ -98,7 +99,7 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
                     out_ok.append(100 * shared >= percent * (len(small) + len(large) - shared))
             yield pa.RecordBatch.from_arrays([pa.array(out_x, pa.int64()), pa.array(out_c, pa.int64()), pa.array(out_ok, pa.bool_())], names=["x", "c", "linked"])
 
-    found = placed.select("doc_id", "text", "c", "salt", "part").mapInArrow(run, "x long, c long, linked boolean")
+    found = placed.select("node", "text", "c", "salt", "part").mapInArrow(run, "x long, c long, linked boolean")
     out = stage(found, "deal")
     drop(asked, counted)
     return out
@@ -111,7 +112,7 @@ def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts:
     compared in its first common band only, on full sets; once two components are joined in a block, their other pairs
     there are skipped. So a block emits fewer links than it has rows, however many pairs are alike.
     """
-    sized = rows.join(reps.select(F.col("doc_id").alias("x"), "n_shingles"), "x")
+    sized = rows.join(reps.select(F.col("node").alias("x"), "n_shingles"), "x")
     ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
     n_all = sized.groupBy("bucket").agg(ways.alias("n_all"))
     n_rest = sized.join(rest.select("bucket", "x"), ["bucket", "x"], "left_semi").groupBy("bucket").agg(ways.alias("n_rest"))
@@ -124,7 +125,7 @@ def _linked_in_blocks(rows: DataFrame, rest: DataFrame, reps: DataFrame, texts:
         return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(is_rest).alias("is_rest"))
 
     both = stage(dealt(rest, "n_rest", "n_all", True).unionByName(dealt(rows, "n_all", "n_rest", False)), "merge")
-    facts = reps.select(F.col("doc_id").alias("x"), "bands").join(texts.withColumnRenamed("doc_id", "x"), "x")
+    facts = reps.select(F.col("node").alias("x"), "bands").join(texts.withColumnRenamed("node", "x"), "x")
     both = both.join(facts.hint("merge"), "x").select("bucket", "i", "j", "is_rest", "x", "root", "bands", "text")
     both = both.repartition(partitions(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "x")
 
@@ -191,7 +192,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["x", "c"])
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 20, rows: int = 5, star_rounds: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 20, rows: int = 5, star_rounds: int = 2, row: str | None = None) -> DataFrame:
     """Near-duplicate groups of ``docs`` (doc_id long, text string; other columns are ignored).
 
     Documents are linked if 100 * |A & B| >= percent * |A | B| for their sets of distinct ``width``-word shingles
@@ -202,23 +203,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     is compared with its whole bucket in blocks, exactly. A pair at 85 % misses all bands of the default banding once in
     100,000 times, one at 80 % once in 2,800.
 
-    Null and empty texts have no shingles and are groups of their own. Rows that share a doc_id count as one node. A
-    null doc_id has a null component and is kept. An empty table gives no rows.
+    Null and empty texts have no shingles and are groups of their own. Rows that share a doc_id are compared by their own
+    texts; component_id is the smallest doc_id of a component, and its rows are kept. With ``row``, the name of a long
+    column that tells rows apart, that is returned as well, and of a component only its first row by (doc_id, row) is
+    kept. A null doc_id has a null component and is kept. An empty table gives no rows.
     """
-    sketch = stage(sketched(docs, width, bands, rows))
+    sketch = stage(sketched(docs, width, bands, rows, row))
     total = sketch.count()
     named = sketch.where("doc_id is not null and set_key is not null")
-    groups = stage(named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("count")), "merge")
+    groups = named.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), F.count("*").alias("count"))
+    groups = stage(groups.select("set_key", "rep.*", "count", F.monotonically_increasing_id().alias("node")), "merge")
     hot_sets = [r[0] for r in groups.where(F.col("count") > max(200, total // 1000)).select("set_key").collect()]
-    reps = stage(named.select("doc_id", "n_shingles", "bands").join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    spread = reps.select(F.col("doc_id").alias("x"), F.explode("bands").alias("bucket"))
+    reps = named.select("doc_id", "text_key", "n_shingles", "bands").join(groups.select("doc_id", "text_key", "node"), ["doc_id", "text_key"])
+    reps = stage(reps.dropDuplicates(["doc_id", "text_key"]).select("node", "n_shingles", "bands"))
+    spread = reps.select(F.col("node").alias("x"), F.explode("bands").alias("bucket"))
     buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"), "merge")
     floor = max(200, buckets.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0] // 1000)
     hot = [r[0] for r in buckets.where(F.col("count") > floor).select("bucket").collect()]
     members = stage(lookup(spread, buckets.select("bucket", "c"), "bucket", hot=hot), "merge")
 
-    wanted = members.select(F.col("x").alias("doc_id")).distinct()
-    texts = stage(docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi"))
+    wanted = groups.select("doc_id", "text_key", "node").join(members.select(F.col("x").alias("node")).distinct(), "node", "left_semi")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).join(wanted.hint("merge"), ["doc_id", "text_key"])
+    texts = stage(texts.dropDuplicates(["doc_id", "text_key"]).select("node", "text"))
     links, tried, left = None, None, members
     for turn in range(star_rounds):
         pairs = left.where("x <> c").select("x", "c").distinct()
@@ -251,12 +257,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             if more.limit(1).count():
                 links = links.unionByName(more)
                 roots = components(links.select(F.col("x").alias("a"), F.col("c").alias("b")))
-    reached = groups.select("set_key", "rep")
-    if roots is not None:
-        reached = reached.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("set_key", F.coalesce("root", "rep").alias("root"))
+    if roots is None:
+        reached = groups.select("set_key", F.col("node").alias("root"), F.col("doc_id").alias("component_id"))
     else:
-        reached = reached.withColumnRenamed("rep", "root")
-    slim = sketch.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
-    out = lookup(slim, stage(reached, "merge"), "set_key", "left", hot=hot_sets)
-    out = out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        reached = groups.join(roots, "node", "left").select("set_key", "doc_id", F.coalesce("root", "node").alias("root"))
+        reached = stage(reached, "merge")
+        heads = stage(reached.groupBy("root").agg(F.min("doc_id").alias("component_id")), "merge")
+        reached = lookup(reached.drop("doc_id"), heads, "root")
+    own = [row] if row else []
+    slim = sketch.select("doc_id", *own, "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    out = lookup(slim, stage(reached.select("set_key", "root", "component_id"), "merge"), "set_key", "left", hot=hot_sets)
+    out = out.select("doc_id", *own, "n_shingles", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if not row:
+        return out.drop("root").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = stage(out)
+    firsts = out.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", row)).alias("first"))
+    out = lookup(out, stage(firsts.select("root", F.col(f"first.{row}").alias("first")), "merge"), "root", "left")
+    return out.withColumn("kept", F.coalesce(F.col("first") == F.col(row), F.lit(True))).drop("root", "first")

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tessera.llm.common import components, lookup, ranked
 from tessera.llm.hashing import similarity_sketch
 from tessera.llm.near_dup import near_duplicates
@@ -71,6 +72,17 @@ def test_odd_rows(spark):
     assert near_duplicates(empty, 3, 85).count() == 0
 
 
+def test_rows_that_share_an_id(spark, sf):
+    """Each text is compared, none that is unique is lost, and the pipeline keeps one of equal rows."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (7, a + " end"), (7, b), (8, b + " end"), (9, c), (9, c), (9, c + " end"), (1, "one only")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in near_duplicates(docs, 5, 80).collect()}
+    assert got == {(1, 56): 1, (7, 57): 1, (7, 56): 7, (8, 57): 7, (9, 56): 9, (9, 57): 9, (1, 1): 1}
+    left = corpus_pipeline.near_dedup(spark, docs, sf).collect()
+    assert sorted(r.doc_id for r in left) == [1, 1, 7, 9] and {(1, a), (1, "one only"), (7, b)} <= {tuple(r) for r in left}
+
+
 def test_sketch_agrees_with_similarity():
     rng = np.random.default_rng(0)
     size, hits = 100, []
