@@ -28,12 +28,15 @@ _encoders: dict[str, Encoder] = {}
 class Encoder:
     """Encodes texts as little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
+        """added: what reads like an added token becomes its id, as the library does unless told otherwise."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.model.encode_special_tokens = not added
+        contents = sorted({t.content for t in self.model.get_added_tokens_decoder().values() if t.content}, key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, contents))) if added and contents else None
         pre = str(self.model.pre_tokenizer)
         self.by_piece = pre.startswith("ByteLevel(") and "add_prefix_space=False" in pre and "use_regex=True" in pre and self.model.normalizer is None
         size = self.model.get_vocab_size()
@@ -46,6 +49,8 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of new pieces. Those of a space and letters keep their borders when joined, so they go as one text."""
         plain = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        if self.added and self.added.search("".join(plain)):
+            plain = []
         out = {}
         if plain:
             ids = np.array(self.model.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, "<u4")
@@ -68,7 +73,7 @@ class Encoder:
         fresh: dict[str, None] = {}
         known = self.known
         for k, text in enumerate(texts):
-            if not self.by_piece or _ODD.search(text):
+            if not self.by_piece or _ODD.search(text) or (self.added and self.added.search(text)):
                 odd.append(k)
                 continue
             pieces = _PIECES.findall(text)
@@ -99,9 +104,9 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file."""
+    """The worker's encoder for a tokenizer file, with the library's default for added tokens."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added=True)
     return _encoders[path]
 
 

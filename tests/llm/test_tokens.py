@@ -72,6 +72,19 @@ def test_token_files_round_trip(spark, sf, plain):
         start += r.n_tokens
 
 
+def test_added_tokens_in_texts_get_the_ids_of_the_library(spark):
+    library = Tokenizer.from_file(PATH)
+    texts = ["one.<|endoftext|>Start", "<|endoftext|>", "a <|endoftext|> b <|endoftext|", "plain words", "日本<|endoftext|>"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    manifest = token_files.write_token_files(docs, f"{shared_dir(spark)}/files-d", PATH, 2)
+    got = token_files.read_token_files(spark, manifest, ids=True).orderBy("start").collect()
+    assert [bytes(r.ids) for r in got] == [raw([*w, 2]) for w in want]
+    cut = packing.pieces(docs, PATH, 1024, 2).collect()
+    assert {r.doc_id: r.ids_crc32 for r in cut} == {i: zlib.crc32(raw([*w, 2])) for i, w in enumerate(want)}
+
+
 def test_token_files_of_odd_rows(spark, plain):
     docs = odd_documents(spark)
     manifest = token_files.write_token_files(docs, f"{shared_dir(spark)}/files-b", PATH, 2)
