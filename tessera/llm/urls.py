@@ -17,8 +17,6 @@ from .common import lookup, stage
 Rule = tuple[str, str, str]
 RULES: list[Rule] = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-#: Levels of the tree; what lies deeper is one last segment.
-DEPTH = 6
 #: Smoothing: pseudo-counts of a template and the share of them that are allowed, and the purity below which it goes.
 STRENGTH, PRIOR, LEAST = 4.0, 0.75, 0.5
 #: A node with more children than this, each rarer than RARE of its pages, has a variable segment below it.
@@ -68,7 +66,7 @@ def judged_pages(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     A page without a rule is blocked if its template's smoothed share of allowed labels is below LEAST, so a template
     without labels is allowed.
 
-    Null urls and urls without ``://`` have an empty host and path and no template, and are allowed. Equal urls get equal
+    The tree is as deep as the deepest path; each level takes a few jobs. Null urls and urls without ``://`` have an empty host and path and no template, and are allowed. Equal urls get equal
     answers. An empty table gives no rows.
     """
     url = F.col("url")
@@ -76,10 +74,7 @@ def judged_pages(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     parsed = parsed.withColumn("rule", rule).withColumn("ruled", verdict)
     parts = F.split(F.col("path"), "/")
-    deep = F.size(parts) > DEPTH + 1
-    head = F.transform(F.slice(parts, 2, DEPTH), shape)
-    segments = F.when(deep, F.concat(F.slice(head, 1, DEPTH - 1), F.array(F.lit("<deep>")))).otherwise(head)
-    parsed = parsed.withColumn("segments", segments)
+    parsed = parsed.withColumn("segments", F.transform(F.slice(parts, F.lit(2), F.size(parts)), shape))
     parsed = stage(parsed.withColumn("leaf", _key(F.col("host"), F.array_join("segments", "/"))))
 
     ones = [F.count("*").alias("n"), F.count_if(F.col("ruled") == "block").alias("bad"), F.count_if(F.col("ruled") == "allow").alias("good")]

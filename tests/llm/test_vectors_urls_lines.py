@@ -108,6 +108,13 @@ def test_templates_learn_from_labelled_neighbours(spark):
     assert {got[i].template for i, u in enumerate(made) if "w.test" in u} == {"/tag/*"} or len({got[i].template.rsplit("/", 1)[0] for i, u in enumerate(made) if "w.test" in u}) == 1
 
 
+def test_templates_tell_deep_branches_apart(spark):
+    rules = [("block", "h.test", "/a/b/c/d/e/f/spam/1"), ("allow", "h.test", "/a/b/c/d/e/f/news/1")]
+    made = [f"http://h.test/a/b/c/d/e/f/{kind}/{n}" for kind in ("spam", "news") for n in (*range(10, 20), 777)]
+    got = {r.page_id: r for r in urls.judged_pages(spark.createDataFrame(list(enumerate(made)), "page_id long, url string"), rules).collect()}
+    assert [(got[i].rule, got[i].verdict) for i in (10, 21)] == [(None, "block"), (None, "allow")]
+
+
 def plain_lines(docs, percent):
     first, place = {}, {}
     for i, text in sorted(docs):
