@@ -1,9 +1,8 @@
-"""Fuzzy line deduplication with DataFrame functions only: shingle signatures, banding, exact Jaccard, union-find.
+"""Fuzzy line deduplication with DataFrame functions only: shingle minima, banding, exact Jaccard, union-find.
 
-A line's shingles are its runs of ``SHINGLE`` characters. Its signature hashes all of them and sorts the hashes on a
-circle. Its bands are the ``ROWS`` hashes that follow each of BANDS fixed points: two lines share the band at a point with
-about the ROWS-th power of their similarity. A line of at most BANDS hashes has a band from each of them instead.
-Candidates are verified on all shingles of both lines.
+A line's shingles are its runs of ``SHINGLE`` UTF-16 units. All of them are hashed; the signature has, for each of MINIMA
+constants, the hash that is nearest to it by exclusive or. Bands are triples of minima, of which two never share a pair
+(``TRIPLES``), so 12 minima give 20 bands. Candidates are verified on all shingles of both lines.
 """
 
 from __future__ import annotations
@@ -13,46 +12,63 @@ from pyspark.sql import functions as F
 
 from .common import components, drop, hot_keys, lookup, stage
 
-SHINGLE, BANDS, ROWS = 8, 12, 3
+SHINGLE, MINIMA = 8, 12
+#: Shingles hashed in one row of generated code.
+CHUNK = 8
+#: Tables of at most so many longs are broadcast.
+FEW = 250_000
 #: Lines and characters of one side of a block in the last search, about.
 BLOCK_ROWS, BLOCK_CHARS = 128, 250_000
 #: Longs of an odd sketch.
 ODD_WORDS = 16
-#: Points on the circle of signed 64-bit hashes, from its start, at equal distances.
-POINTS = [-(2**63) + j * (2**64 // BANDS) for j in range(BANDS)]
 
 
-def shingles(line: Column) -> Column:
-    """All runs of SHINGLE characters; a line shorter than that is one shingle itself."""
-    found = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(found)
+def signed(x: int) -> int:
+    """The signed 64-bit number of the same bits."""
+    return (x + 2**63) % 2**64 - 2**63
 
 
-def hashed(values: Column) -> Column:
-    """The distinct 64-bit hashes of shingles."""
-    return F.array_distinct(F.transform(values, lambda v: F.xxhash64(v)))
+#: Evenly spread numbers of 64 bits: multiples of the golden ratio.
+NEAREST_TO = [signed((j + 1) * 0x9E3779B97F4A7C15 % 2**64) for j in range(MINIMA)]
+#: The cyclic Steiner triple system of order 13 without its last point.
+TRIPLES = [t for i in range(13) for t in ((i, (i + 1) % 13, (i + 4) % 13), (i, (i + 2) % 13, (i + 7) % 13)) if 12 not in t]
 
 
-def _banded(lines: DataFrame) -> DataFrame:
-    """Adds ``bands`` to lines (line).
+def shingles(line: Column) -> Column:
+    """The distinct 64-bit hashes of a line's runs of SHINGLE units; a line shorter than that is one run."""
+    units = F.array(F.encode(line, "UTF-16BE"))
+    last = F.greatest(F.octet_length(F.encode(line, "UTF-16BE")) - (2 * SHINGLE - 1), F.lit(1))
+    runs = F.transform(units, lambda u: F.transform(F.sequence(F.lit(1), last, F.lit(2)), lambda i: F.xxhash64(F.substring(u, i, F.lit(2 * SHINGLE)))))
+    return F.array_distinct(F.get(runs, F.lit(0)))
+
+
+def _signatures(lines: DataFrame) -> DataFrame:
+    """node and its ``minima``, for lines (node, line) whose partitioning by node saves the aggregation its shuffle."""
+    units = lines.select("node", F.encode("line", "UTF-16BE").alias("units"))
+    units = units.select("node", "units", F.greatest(F.octet_length("units") - (2 * SHINGLE - 1), F.lit(1)).alias("last"))
+    chunks = units.select("node", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * CHUNK))).alias("i"))
+    run = [F.substring(F.col("units"), F.least(F.col("i") + 2 * k, F.col("last")) if k else F.col("i"), F.lit(2 * SHINGLE)) for k in range(CHUNK)]
+    hashes = chunks.select("node", *[F.xxhash64(r).alias(f"h{k}") for k, r in enumerate(run)])
+    minima = [F.min(F.least(*[F.col(f"h{k}").bitwiseXOR(F.lit(c)) for k in range(CHUNK)])).alias(f"m{j}") for j, c in enumerate(NEAREST_TO)]
+    return hashes.groupBy("node").agg(*minima).select("node", F.array(*[f"m{j}" for j in range(MINIMA)]).alias("minima"))
 
-    Two lines of at most BANDS hashes have all their runs of ROWS, and of a union in which fewer than every ROWS-th hash is
-    not shared some run is: such a pair at 80 % always shares a band.
-    """
-    signed = lines.withColumn("_s", F.sort_array(hashed(shingles(F.col("line"))))).withColumn("_n", F.size("_s"))
-    points = F.array(*map(F.lit, POINTS))
-    merged = signed.withColumn("_h", F.sort_array(F.concat("_s", points))).withColumn("_s", F.concat("_s", F.slice("_s", 1, ROWS)))
-    keys = [F.xxhash64(F.slice("_s", (F.array_position("_h", F.lit(p)) - j).cast("int"), ROWS)) for j, p in enumerate(POINTS)]
-    runs = F.transform(F.sequence(F.lit(1), F.col("_n")), lambda i: F.xxhash64(F.slice("_s", i, ROWS)))
-    return merged.withColumn("bands", F.when(F.col("_n") <= BANDS, runs).otherwise(F.array(*keys))).drop("_s", "_h", "_n")
 
+def bands(minima: Column) -> Column:
+    """The bands of a signature."""
+    return F.array(*[F.xxhash64(F.lit(n), *[minima[j] for j in t]) for n, t in enumerate(TRIPLES)])
 
-def _exploded(docs: DataFrame) -> DataFrame:
+
+def _exploded(docs: DataFrame, own: list[str]) -> DataFrame:
     """doc_id, line_no (from 0), line, and line_key (null for lines of white space only)."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = docs.select("doc_id", *own, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return lines.withColumn("line_key", F.when(F.col("line").rlike(r"[^\s]"), F.md5(F.col("line").cast("binary"))))
 
 
+def _few_or_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` (keys in any number) whose key is in ``right`` (each once): by broadcast for FEW of them at most."""
+    return left.join(F.broadcast(right) if right.limit(FEW + 1).count() <= FEW else right.hint("merge"), key)
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, c) with linked: 100 * |A & B| >= percent * |A | B| for the sets of 64-bit hashes of all shingles of the two lines.
 
@@ -64,7 +80,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     centers = counted.select("c", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"))
     right = centers.join(texts.select(F.col("node").alias("c"), F.col("line").alias("b")).hint("merge"), "c")
     both = left.join(right.hint("merge"), ["c", "salt"])
-    both = both.select("x", "c", hashed(shingles(F.col("a"))).alias("a"), hashed(shingles(F.col("b"))).alias("b"))
+    both = both.select("x", "c", shingles(F.col("a")).alias("a"), shingles(F.col("b")).alias("b"))
     both = both.withColumn("shared", F.size(F.array_intersect("a", "b")))
     linked = 100 * F.col("shared") >= percent * (F.size("a") + F.size("b") - F.col("shared"))
     out = stage(both.select("x", "c", linked.alias("linked")), "deal")
@@ -72,7 +88,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> DataFrame:
+def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row: str | None = None) -> DataFrame:
     """Classes of alike lines in ``docs`` (doc_id long, text string): one row per line of every text.
 
     Returns doc_id, line_no, first_doc_id, first_line_no, kept. Two lines are linked if they are equal or their sets of
@@ -81,36 +97,49 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
     compared. A null text has no lines; an empty one has one empty line.
 
     Equal lines are merged before anything else. Members of a bucket are compared with its smallest line, those not
-    linked do so again among themselves, and what is still apart after ``star_rounds`` meets the rest of its bucket. A pair at 80 %
-    misses all bands about once in 5,000 times, one at 85 % once in 80,000; lines of at most BANDS distinct shingles miss
-    none at 80 %. Rows that share a doc_id are treated alike; lines of a null doc_id are compared but all kept.
+    linked do so again among themselves, and what is still apart after ``star_rounds`` meets the rest of its bucket. A
+    pair at 80 % misses all bands about once in 650 times, one at 85 % once in 4,000, short lines less often.
+
+    Rows that share a doc_id have lines of their own, and of a class one line stays, whichever rows it is in; with
+    ``row``, the name of a column that tells rows apart, that is returned as well. Lines of a null doc_id are compared,
+    but all kept.
     """
-    found = stage(_banded(_exploded(docs)).drop("line").withColumn("at", F.monotonically_increasing_id()))
+    own = [row] if row else []
+    found = stage(_exploded(docs, own).withColumn("at", F.monotonically_increasing_id()))
     named = found.where("line_key is not null")
     lines = stage(named.groupBy("line_key").agg(F.min("at").alias("node"), F.count("*").alias("count")))
     hot_lines = hot_keys(lines, "line_key", found.count())
     firsts = lines.select(F.col("node").alias("at"))
-    reps = stage(named.select("at", "bands").join(firsts.hint("merge"), "at", "left_semi"))
-    spread = reps.select(F.col("at").alias("x"), F.explode(F.array_distinct("bands")).alias("bucket"))
-    buckets = stage(spread.groupBy("bucket").agg(F.min("x").alias("c"), F.count("*").alias("count")).where("count > 1"), "merge")
-    hot = hot_keys(buckets, "bucket", buckets.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0])
-    members = stage(lookup(spread, buckets.select("bucket", "c"), "bucket", hot=hot), "merge")
-    wanted = members.select(F.col("x").alias("node")).distinct()
-    places = named.select(F.col("at").alias("node"), "doc_id", "line_no", "line_key").join(wanted.hint("merge"), "node", "left_semi")
-    places = stage(places, "merge")
-    keyed = places.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "line_key", "node")).alias("asked"))
-    taken = docs.where("text is not null").select(F.col("doc_id").alias("doc"), "text").join(keyed.hint("merge"), F.col("doc").eqNullSafe(F.col("doc_id")))
-    taken = taken.withColumn("rows", F.split("text", "\n")).select("rows", F.explode("asked").alias("ask"))
-    taken = taken.select(F.col("ask.node").alias("node"), F.col("ask.line_key").alias("line_key"), F.get("rows", F.col("ask.line_no")).alias("line"))
-    texts = stage(taken.where(F.md5(F.col("line").cast("binary")) == F.col("line_key")).dropDuplicates(["node"]).select("node", "line"))
+    reps = found.select("at", "line").join(firsts.hint("merge"), "at", "left_semi").withColumnRenamed("at", "node")
+    reps = stage(_signatures(reps))
+    buckets = None
+    for half in (0, 1):
+        keys = F.array_distinct(F.slice(bands(F.col("minima")), 1 + half * len(TRIPLES) // 2, len(TRIPLES) // 2))
+        spread = reps.select(F.col("node").alias("x"), F.explode(keys).alias("bucket"))
+        met = spread.groupBy("bucket").agg(F.min("x").alias("c"), F.max("x").alias("d"), F.bit_xor("x").alias("e"), F.count("*").alias("count"))
+        met = stage(met.where("count > 1"))
+        buckets = met if buckets is None else buckets.unionByName(met)
+    two = buckets.where("count = 2").select(F.col("d").alias("x"), "c")
+    three = buckets.where("count = 3").select("c", "d", F.col("c").bitwiseXOR(F.col("d")).bitwiseXOR(F.col("e")).alias("e"))
+    large = buckets.where("count > 3").select("bucket", "c", "count")
+    spread = reps.select(F.col("node").alias("x"), F.explode(F.array_distinct(bands(F.col("minima")))).alias("bucket"))
+    n_large, in_large = large.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+    hot = hot_keys(large, "bucket", in_large)
+    large = large.select("bucket", "c")
+    members = stage(spread.join(F.broadcast(large), "bucket") if n_large <= FEW else lookup(spread, large, "bucket", hot=hot), "merge")
+    members = members.select("bucket", "x", "c")
+    of_three = three.select("c", F.explode(F.array("d", "e")).alias("x")).select("x", "c")
+    pairs = two.unionByName(of_three).unionByName(members.where("x <> c").select("x", "c")).distinct()
+    pairs = stage(pairs)
+    wanted = stage(pairs.select(F.explode(F.array("x", "c")).alias("node")).distinct(), "merge")
+    texts = stage(_few_or_many(found.select(F.col("at").alias("node"), "line"), wanted, "node"))
 
     links, tried, left = None, None, members
-    for _ in range(star_rounds):
-        pairs = left.where("x <> c").select("x", "c").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("x", "c"), ["x", "c"], "left_anti")
-        pairs = stage(pairs, "merge")
-        if not pairs.count():
+    for turn in range(star_rounds):
+        if turn:
+            pairs = left.where("x <> c").select("x", "c").distinct().join(tried.select("x", "c"), ["x", "c"], "left_anti")
+            pairs = stage(pairs, "merge")
+        if not pairs.limit(1).count():
             break
         checked = _verified(texts, pairs, percent)
         good = checked.where("linked").select("x", "c")
@@ -122,23 +151,38 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3) -> Da
             break
     roots = None
     if links is not None:
-        roots = components(links.select(F.col("x").alias("a"), F.col("c").alias("b")))
-        merged = _merged_in_blocks(members, roots, reps.select(F.col("at").alias("x"), "bands"), texts, percent, hot)
-        if merged is not None:
-            links = links.select(F.col("x").alias("a"), F.col("c").alias("b")).unionByName(merged)
+        links = links.select(F.col("x").alias("a"), F.col("c").alias("b"))
+        roots = components(links)
+        more = [_third_sides(three, tried, roots, texts, percent), _merged_in_blocks(members, roots, reps, texts, percent, hot, star_rounds)]
+        more = [x for x in more if x is not None]
+        if more:
+            for x in more:
+                links = links.unionByName(x)
             roots = components(links)
     classes = lines.where("count > 1") if roots is None else lines.join(roots, "node", "left").where("count > 1 or root is not null")
     root = F.col("node") if roots is None else F.coalesce("root", "node")
-    classes = stage(classes.select("line_key", root.alias("root")), "merge")
-    slim = found.select("doc_id", "line_no", "line_key")
-    rooted = stage(lookup(slim, classes, "line_key", "left", hot=hot_lines).select("doc_id", "line_no", "root"))
-    heads = rooted.where("root is not null and doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    out = lookup(rooted, stage(heads, "merge"), "root", "left")
-    here = F.struct("doc_id", "line_no")
+    classes = stage(classes.select("line_key", root.alias("root")))
+    slim = found.select("doc_id", *own, "line_no", "line_key", "at")
+    rooted = stage(lookup(slim, classes, "line_key", "left", hot=hot_lines).select("doc_id", *own, "line_no", "at", "root"))
+    heads = rooted.where("root is not null and doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "line_no", "at")).alias("first"))
+    out = lookup(rooted, stage(heads), "root", "left")
+    here = F.struct("doc_id", "line_no", "at")
     first = F.when(F.col("doc_id").isNull() | F.col("first").isNull(), here).otherwise(F.col("first"))
-    out = out.select("doc_id", "line_no", first.alias("first"))
-    kept = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no"))
-    return out.select("doc_id", "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), kept.alias("kept"))
+    out = out.select("doc_id", *own, "line_no", first.alias("first"), (first["at"] == F.col("at")).alias("kept"))
+    return out.select("doc_id", *own, "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), "kept")
+
+
+def _third_sides(three: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
+    """Links (a, b) between the two lines of buckets of three that their star did not compare, where components differ."""
+    rooted = roots.select("node", "root")
+    sides = three.select(F.least("d", "e").alias("c"), F.greatest("d", "e").alias("x")).distinct()
+    for end in ("c", "x"):
+        sides = sides.join(rooted.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")).hint("merge"), end, "left")
+    apart = F.coalesce("root_c", "c") != F.coalesce("root_x", "x")
+    pairs = stage(sides.where(apart).select("x", "c").join(tried.select("x", "c"), ["x", "c"], "left_anti"), "merge")
+    if not pairs.limit(1).count():
+        return None
+    return _verified(texts, pairs, percent).where("linked").select(F.col("x").alias("a"), F.col("c").alias("b"))
 
 
 def _odd_sketches(texts: DataFrame) -> DataFrame:
@@ -146,7 +190,7 @@ def _odd_sketches(texts: DataFrame) -> DataFrame:
 
     Two sets differ in at least as many shingles as their sketches in bits, so many bits that differ rule a pair out.
     """
-    each = texts.select("node", F.explode(hashed(shingles(F.col("line")))).alias("h"))
+    each = texts.select("node", F.explode(shingles(F.col("line"))).alias("h"))
     word = F.pmod(F.shiftright("h", 8), F.lit(ODD_WORDS))
     flip = F.expr("shiftleft(1L, cast(pmod(h, 64) as int))")
     words = [F.bit_xor(F.when(word == j, flip).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(ODD_WORDS)]
@@ -154,17 +198,18 @@ def _odd_sketches(texts: DataFrame) -> DataFrame:
     return texts.join(sketches.select("node", "n", F.array(*[f"w{j}" for j in range(ODD_WORDS)]).alias("odd")), "node")
 
 
-def _merged_in_blocks(members: DataFrame, roots: DataFrame, bands: DataFrame, texts: DataFrame, percent: int, hot: list) -> DataFrame | None:
+def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, hot: list, star_rounds: int) -> DataFrame | None:
     """Links (a, b) between roots of different components that have alike lines in one bucket; None if nothing is left.
 
-    Lines outside their bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS
+    Of a bucket without links, of at most star_rounds + 1 lines, the stars have compared all. Lines outside their bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS
     lines a side; two such lines meet once. A pair is compared in its smallest common bucket only, first by odd
     sketches, which rule out no alike pair, then on the sets of 64-bit hashes of all its shingles. A block states which components meet, not its pairs.
     """
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
     rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
     sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("lines"))
+    main = main.where((F.col("roots") > 1) & ((F.col("roots") < F.col("lines")) | (F.col("lines") > star_rounds + 1))).select("bucket", "main")
     rest = stage(lookup(rooted, stage(main, "merge"), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"), "merge")
     if not rest.limit(1).count():
         return None
@@ -184,10 +229,11 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, bands: DataFrame, te
 
     both = dealt(rest.withColumn("apart", F.lit(True)), "n_rest", "n_all", True).unionByName(dealt(there, "n_all", "n_rest", False))
     facts = _odd_sketches(texts.join(there.select(F.col("x").alias("node")).distinct().hint("merge"), "node", "left_semi"))
-    facts = stage(facts.withColumnRenamed("node", "x").join(bands, "x"))
+    facts = facts.join(reps.select("node", bands(F.col("minima")).alias("bands")), "node")
+    facts = stage(facts.withColumnRenamed("node", "x"))
     row = F.struct("is_rest", "apart", "root", "bands", "odd", "n", "line")
     blocks = both.join(facts.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
-    full = F.transform("rows", lambda r: F.struct(r["is_rest"].alias("is_rest"), r["apart"].alias("apart"), r["root"].alias("root"), r["bands"].alias("bands"), r["odd"].alias("odd"), r["n"].alias("n"), hashed(shingles(r["line"])).alias("s")))
+    full = F.transform("rows", lambda r: F.struct(r["is_rest"].alias("is_rest"), r["apart"].alias("apart"), r["root"].alias("root"), r["bands"].alias("bands"), r["odd"].alias("odd"), r["n"].alias("n"), shingles(r["line"]).alias("s")))
     blocks = blocks.select("bucket", full.alias("rows"))
 
     def alike(a: Column, b: Column, bucket: Column) -> Column:
@@ -215,10 +261,12 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, bands: DataFrame, te
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the lines that are not kept, with n_chars (if there is one) set anew; other columns stay.
 
-    A document that had text and loses every line that is not white space goes; all its lines are kept elsewhere.
+    A row that had text and loses every line that is not white space goes; all its lines are kept elsewhere. Rows are
+    told apart by a number of their own, so rows that share a doc_id keep what only they have.
     """
-    gone = line_classes(docs, **options).where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    left = docs.join(gone.hint("merge"), "doc_id", "left")
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    gone = line_classes(rows, row="_row", **options).where("not kept").groupBy("_row").agg(F.collect_set("line_no").alias("_gone"))
+    left = rows.join(gone.hint("merge"), "_row", "left")
     rest = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains("_gone", at))
     changed = F.col("_gone").isNotNull()
     left = left.withColumn("text", F.when(changed, F.array_join(rest, "\n")).otherwise(F.col("text")))
