@@ -65,11 +65,16 @@ def release(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, slim: str = "") -> DataFrame:
+def _collect_garbage(spark: SparkSession) -> None:
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def stage(df: DataFrame, slim: str = "", codec: str = "") -> DataFrame:
     """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors, keeps column pruning.
 
-    Shuffle files that nothing refers to any more are dropped after a table that is not slim, rather than whenever the
-    driver happens to collect its garbage. Slim tables are written as a sixteenth of the shuffle width in files: ``merge`` lets a writer take several partitions,
+    Shuffle files that nothing refers to any more are dropped before and after a table that is not slim, rather than
+    whenever the driver happens to collect its garbage. ``codec`` is Parquet's compression for large texts. Slim tables are written as a sixteenth of the shuffle width in files: ``merge`` lets a writer take several partitions,
     for tables that are cheap to compute; ``deal`` shuffles the rows first, for those that are not.
     """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
@@ -77,10 +82,11 @@ def stage(df: DataFrame, slim: str = "") -> DataFrame:
         _noted[-1].append(path)
     files = max(2, partitions(df.sparkSession) // 16)
     out = df.coalesce(files) if slim == "merge" else df.repartition(files) if slim == "deal" else df
-    out.write.parquet(path)
     if not slim:
-        gc.collect()
-        df.sparkSession._jvm.System.gc()
+        _collect_garbage(df.sparkSession)
+    out.write.parquet(path, compression=codec or None)
+    if not slim:
+        _collect_garbage(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,8 @@ constants, the hash that is nearest to it by exclusive or. Bands are triples of
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ CHUNK = 8
 FEW = 250_000
 #: Lines and characters of one side of a block in the last search, about.
 BLOCK_ROWS, BLOCK_CHARS = 128, 250_000
-#: Longs of an odd sketch.
-ODD_WORDS = 16
+#: Longs of a bitmap (a power of two).
+WORDS = 16
 
 
 def signed(x: int) -> int:
@@ -42,15 +44,39 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(F.get(runs, F.lit(0)))
 
 
-def _signatures(lines: DataFrame) -> DataFrame:
-    """node and its ``minima``, for lines (node, line) whose partitioning by node saves the aggregation its shuffle."""
+def _hashed(lines: DataFrame) -> DataFrame:
+    """Rows of CHUNK shingle hashes (h0, h1, ...; the last shingle fills up), with node and n, the line's number of shingles."""
     units = lines.select("node", F.encode("line", "UTF-16BE").alias("units"))
     units = units.select("node", "units", F.greatest(F.octet_length("units") - (2 * SHINGLE - 1), F.lit(1)).alias("last"))
     chunks = units.select("node", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * CHUNK))).alias("i"))
     run = [F.substring(F.col("units"), F.least(F.col("i") + 2 * k, F.col("last")) if k else F.col("i"), F.lit(2 * SHINGLE)) for k in range(CHUNK)]
-    hashes = chunks.select("node", *[F.xxhash64(r).alias(f"h{k}") for k, r in enumerate(run)])
+    return chunks.select("node", F.shiftright(F.col("last") + 1, 1).alias("n"), *[F.xxhash64(r).alias(f"h{k}") for k, r in enumerate(run)])
+
+
+def _signatures(lines: DataFrame) -> DataFrame:
+    """node and its ``minima``, for lines (node, line) whose partitioning by node saves the aggregation its shuffle."""
     minima = [F.min(F.least(*[F.col(f"h{k}").bitwiseXOR(F.lit(c)) for k in range(CHUNK)])).alias(f"m{j}") for j, c in enumerate(NEAREST_TO)]
-    return hashes.groupBy("node").agg(*minima).select("node", F.array(*[f"m{j}" for j in range(MINIMA)]).alias("minima"))
+    return _hashed(lines).groupBy("node").agg(*minima).select("node", F.array(*[f"m{j}" for j in range(MINIMA)]).alias("minima"))
+
+
+def _bitmaps(lines: DataFrame) -> DataFrame:
+    """node, n (shingles, repeats included) and ``seen``: WORDS longs with the bit of each shingle's hash set.
+
+    A bit that one line has and another has not stands for a shingle that only one of them has.
+    """
+    def word(j: int) -> Column:
+        bits = [F.when(F.col(f"w{k}") == j, F.col(f"b{k}")).otherwise(F.lit(0).cast("long")) for k in range(CHUNK)]
+        return F.bit_or(reduce(lambda x, y: x.bitwiseOR(y), bits)).alias(f"s{j}")
+
+    placed = [x for k in range(CHUNK) for x in (F.expr(f"shiftleft(1L, cast(h{k} & 63 as int))").alias(f"b{k}"), F.expr(f"(h{k} >> 6) & {WORDS - 1}").alias(f"w{k}"))]
+    rows = _hashed(lines).select("node", "n", *placed)
+    return rows.groupBy("node").agg(F.first("n").alias("n"), *[word(j) for j in range(WORDS)]).select("node", "n", F.array(*[f"s{j}" for j in range(WORDS)]).alias("seen"))
+
+
+def _possible(n_a: Column, seen_a: Column, n_b: Column, seen_b: Column, percent: int) -> Column:
+    """False for pairs that cannot be ``percent`` alike: their bitmaps differ in more bits than such lines in shingles."""
+    differ = sum((F.bit_count(F.get(seen_a, F.lit(j)).bitwiseXOR(F.get(seen_b, F.lit(j)))) for j in range(WORDS)), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (n_a + n_b)
 
 
 def bands(minima: Column) -> Column:
@@ -69,13 +95,17 @@ def _few_or_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(F.broadcast(right) if right.limit(FEW + 1).count() <= FEW else right.hint("merge"), key)
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(texts: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, c) with linked: 100 * |A & B| >= percent * |A | B| for the sets of 64-bit hashes of all shingles of the two lines.
 
-    The text of a c with many partners goes to several groups, each with a share of them.
+    Bitmaps rule out what they can. The text of a c with many partners goes to several groups, each with a share of them.
     """
-    counted = stage(pairs.groupBy("c").count().withColumn("ways", F.ceil(F.col("count") / 64).cast("int")), "merge")
-    spread = lookup(pairs, counted.select("c", "ways"), "c").withColumn("salt", F.pmod(F.xxhash64("x"), "ways").cast("int"))
+    sized = pairs.join(facts.select(F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("seen").alias("seen_x")).hint("merge"), "x")
+    sized = lookup(sized, facts.select(F.col("node").alias("c"), F.col("n").alias("n_c"), F.col("seen").alias("seen_c")), "c")
+    sized = stage(sized.select("x", "c", _possible(F.col("n_x"), F.col("seen_x"), F.col("n_c"), F.col("seen_c"), percent).alias("possible")), "merge")
+    close = sized.where("possible").select("x", "c")
+    counted = stage(close.groupBy("c").count().withColumn("ways", F.ceil(F.col("count") / 64).cast("int")), "merge")
+    spread = lookup(close, counted.select("c", "ways"), "c").withColumn("salt", F.pmod(F.xxhash64("x"), "ways").cast("int"))
     left = spread.select("x", "c", "salt").join(texts.select(F.col("node").alias("x"), F.col("line").alias("a")).hint("merge"), "x")
     centers = counted.select("c", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"))
     right = centers.join(texts.select(F.col("node").alias("c"), F.col("line").alias("b")).hint("merge"), "c")
@@ -85,7 +115,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     linked = 100 * F.col("shared") >= percent * (F.size("a") + F.size("b") - F.col("shared"))
     out = stage(both.select("x", "c", linked.alias("linked")), "deal")
     drop(counted)
-    return out
+    return out.unionByName(sized.where("not possible").select("x", "c", F.lit(False).alias("linked")))
 
 
 def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row: str | None = None) -> DataFrame:
@@ -105,7 +135,7 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     but all kept.
     """
     own = [row] if row else []
-    found = stage(_exploded(docs, own).withColumn("at", F.monotonically_increasing_id()))
+    found = stage(_exploded(docs, own).withColumn("at", F.monotonically_increasing_id()), codec="zstd")
     named = found.where("line_key is not null")
     lines = stage(named.groupBy("line_key").agg(F.min("at").alias("node"), F.count("*").alias("count")))
     hot_lines = hot_keys(lines, "line_key", found.count())
@@ -132,7 +162,8 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     pairs = two.unionByName(of_three).unionByName(members.where("x <> c").select("x", "c")).distinct()
     pairs = stage(pairs)
     wanted = stage(pairs.select(F.explode(F.array("x", "c")).alias("node")).distinct(), "merge")
-    texts = stage(_few_or_many(found.select(F.col("at").alias("node"), "line"), wanted, "node"))
+    texts = stage(_few_or_many(found.select(F.col("at").alias("node"), "line"), wanted, "node"), codec="zstd")
+    facts = stage(_bitmaps(texts))
 
     links, tried, left = None, None, members
     for turn in range(star_rounds):
@@ -141,7 +172,7 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
             pairs = stage(pairs, "merge")
         if not pairs.limit(1).count():
             break
-        checked = _verified(texts, pairs, percent)
+        checked = _verified(texts, facts, pairs, percent)
         good = checked.where("linked").select("x", "c")
         links = good if links is None else links.unionByName(good)
         tried = checked if tried is None else tried.unionByName(checked)
@@ -153,7 +184,7 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     if links is not None:
         links = links.select(F.col("x").alias("a"), F.col("c").alias("b"))
         roots = components(links)
-        more = [_third_sides(three, tried, roots, texts, percent), _merged_in_blocks(members, roots, reps, texts, percent, hot, star_rounds)]
+        more = [_third_sides(three, tried, roots, texts, facts, percent), _merged_in_blocks(members, roots, reps, texts, facts, percent, hot, star_rounds)]
         more = [x for x in more if x is not None]
         if more:
             for x in more:
@@ -172,7 +203,7 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     return out.select("doc_id", *own, "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), "kept")
 
 
-def _third_sides(three: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
+def _third_sides(three: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFrame, facts: DataFrame, percent: int) -> DataFrame | None:
     """Links (a, b) between the two lines of buckets of three that their star did not compare, where components differ."""
     rooted = roots.select("node", "root")
     sides = three.select(F.least("d", "e").alias("c"), F.greatest("d", "e").alias("x")).distinct()
@@ -182,28 +213,16 @@ def _third_sides(three: DataFrame, tried: DataFrame, roots: DataFrame, texts: Da
     pairs = stage(sides.where(apart).select("x", "c").join(tried.select("x", "c"), ["x", "c"], "left_anti"), "merge")
     if not pairs.limit(1).count():
         return None
-    return _verified(texts, pairs, percent).where("linked").select(F.col("x").alias("a"), F.col("c").alias("b"))
-
+    return _verified(texts, facts, pairs, percent).where("linked").select(F.col("x").alias("a"), F.col("c").alias("b"))
 
-def _odd_sketches(texts: DataFrame) -> DataFrame:
-    """Adds n (distinct shingles) and odd to lines: ODD_WORDS longs in which each shingle flips the bit it is hashed to.
 
-    Two sets differ in at least as many shingles as their sketches in bits, so many bits that differ rule a pair out.
-    """
-    each = texts.select("node", F.explode(shingles(F.col("line"))).alias("h"))
-    word = F.pmod(F.shiftright("h", 8), F.lit(ODD_WORDS))
-    flip = F.expr("shiftleft(1L, cast(pmod(h, 64) as int))")
-    words = [F.bit_xor(F.when(word == j, flip).otherwise(F.lit(0).cast("long"))).alias(f"w{j}") for j in range(ODD_WORDS)]
-    sketches = each.groupBy("node").agg(F.count("*").cast("int").alias("n"), *words)
-    return texts.join(sketches.select("node", "n", F.array(*[f"w{j}" for j in range(ODD_WORDS)]).alias("odd")), "node")
-
-
-def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, hot: list, star_rounds: int) -> DataFrame | None:
+def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, facts: DataFrame, percent: int, hot: list, star_rounds: int) -> DataFrame | None:
     """Links (a, b) between roots of different components that have alike lines in one bucket; None if nothing is left.
 
-    Of a bucket without links, of at most star_rounds + 1 lines, the stars have compared all. Lines outside their bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS
-    lines a side; two such lines meet once. A pair is compared in its smallest common bucket only, first by odd
-    sketches, which rule out no alike pair, then on the sets of 64-bit hashes of all its shingles. A block states which components meet, not its pairs.
+    Of a bucket without links, of at most star_rounds + 1 lines, the stars have compared all. Lines outside their
+    bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS lines a side; two such
+    lines meet once. A pair is compared in its smallest common bucket only, first by bitmaps, which rule out no alike
+    pair, then on the sets of 64-bit hashes of all its shingles. A block states which components meet, not its pairs.
     """
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
     rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
@@ -228,21 +247,17 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
         return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), "apart", F.lit(is_rest).alias("is_rest"))
 
     both = dealt(rest.withColumn("apart", F.lit(True)), "n_rest", "n_all", True).unionByName(dealt(there, "n_all", "n_rest", False))
-    facts = _odd_sketches(texts.join(there.select(F.col("x").alias("node")).distinct().hint("merge"), "node", "left_semi"))
-    facts = facts.join(reps.select("node", bands(F.col("minima")).alias("bands")), "node")
-    facts = stage(facts.withColumnRenamed("node", "x"))
-    row = F.struct("is_rest", "apart", "root", "bands", "odd", "n", "line")
-    blocks = both.join(facts.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
-    full = F.transform("rows", lambda r: F.struct(r["is_rest"].alias("is_rest"), r["apart"].alias("apart"), r["root"].alias("root"), r["bands"].alias("bands"), r["odd"].alias("odd"), r["n"].alias("n"), shingles(r["line"]).alias("s")))
-    blocks = blocks.select("bucket", full.alias("rows"))
-
+    asked = stage(there.select(F.col("x").alias("node")).distinct(), "merge")
+    known = facts.join(asked.hint("merge"), "node").join(reps.select("node", bands(F.col("minima")).alias("bands")).hint("merge"), "node")
+    known = stage(known.join(texts.hint("merge"), "node").withColumnRenamed("node", "x"))
+    row = F.struct("is_rest", "apart", "root", "bands", "seen", "n", "line")
+    blocks = both.join(known.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
     def alike(a: Column, b: Column, bucket: Column) -> Column:
-        total = a["n"] + b["n"]
-        differ = F.aggregate(F.zip_with(a["odd"], b["odd"], lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
-        close = (100 + percent) * differ <= (100 - percent) * total
         first = F.array_min(F.array_intersect(a["bands"], b["bands"])) == bucket
-        shared = F.size(F.array_intersect(a["s"], b["s"]))
-        return close & first & (100 * shared >= percent * (total - shared))
+        sets = F.array(F.struct(shingles(a["line"]).alias("a"), shingles(b["line"]).alias("b")))
+        shared = F.transform(sets, lambda s: F.struct(F.size(F.array_intersect(s["a"], s["b"])).alias("n"), (F.size(s["a"]) + F.size(s["b"])).alias("sum")))
+        linked = F.exists(shared, lambda s: 100 * s["n"] >= percent * (s["sum"] - s["n"]))
+        return _possible(a["n"], a["seen"], b["n"], b["seen"], percent) & first & linked
 
     blocks = blocks.select("bucket", F.filter("rows", lambda r: r["is_rest"]).alias("left"), F.filter("rows", lambda r: ~r["is_rest"]).alias("right"))
     found = F.flatten(
