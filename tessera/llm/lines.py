@@ -22,7 +22,7 @@ FEW = 250_000
 #: Lines and characters of one side of a block in the last search, about.
 BLOCK_ROWS, BLOCK_CHARS = 128, 250_000
 #: Longs of a bitmap (a power of two).
-WORDS = 16
+WORDS = 32
 
 
 def signed(x: int) -> int:
