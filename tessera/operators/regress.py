@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -86,13 +84,25 @@ def newey_west(x: np.ndarray, lag: int) -> tuple[float, float]:
 
 
 def ridge(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray]:
-    """(loadings, intercepts) of each column of y on x; the penalty acts on standardized x. Constant columns load 0."""
-    mu, sd = x.mean(axis=0), x.std(axis=0)
-    live = np.ptp(x, axis=0) > 0
-    z = np.where(live, (x - mu) / np.where(live, sd, 1.0), 0.0)
-    gram = z.T @ z + penalty * np.eye(x.shape[1])
-    beta = np.linalg.solve(gram, z.T @ (y - y.mean(axis=0))) / np.where(live, sd, np.inf)[:, None]
-    return beta, y.mean(axis=0) - mu @ beta
+    """(loadings, intercepts) of each column of y on x; the penalty acts on standardized x. Constant columns load 0.
+
+    Along each singular direction of the standardized factors the least-squares loading shrinks by s^2 / (s^2 + penalty).
+    """
+    center, size = x.mean(axis=0), np.where(np.ptp(x, axis=0) > 0, x.std(axis=0), np.inf)
+    u, s, v = np.linalg.svd((x - center) / size, full_matrices=False)
+    gain = np.divide(s, s * s + penalty, out=np.zeros_like(s), where=s > 0)
+    beta = (v.T @ (gain[:, None] * (u.T @ (y - y.mean(axis=0))))) / size[:, None]
+    return beta, y.mean(axis=0) - center @ beta
+
+
+def ridge_from_sums(n: float, sx: np.ndarray, sxx: np.ndarray, sy: float, sxy: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
+    """(loadings, intercept) of the same ridge from sums alone: rows, x, x x', y and x y. Sums add up, so rows need not meet."""
+    center = sx / n
+    spread = np.sqrt(np.maximum(np.diagonal(sxx) / n - center**2, 0.0))
+    size = np.where(spread > 1e-9 * np.maximum(np.abs(center), 1e-9), spread, np.inf)
+    gram = (sxx - n * np.multiply.outer(center, center)) / np.multiply.outer(size, size)
+    beta = np.linalg.solve(gram + penalty * np.eye(len(size)), (sxy - center * sy) / size) / size
+    return beta, sy / n - center @ beta
 
 
 def rolling_ridge(df: DataFrame, key: str, day: str, ret: str, factors: list[str], window: int, step: int, least: int, penalty: float) -> DataFrame:
@@ -120,10 +130,10 @@ def eigenportfolios(df: DataFrame, key: str, day: str, ret: str, size: str, wind
     """Out-of-sample returns of the top k eigenportfolios: (day, component, ret, share, n).
 
     At each rebalance the largest ``n_names`` names with a full window give a correlation matrix; a component's weights are
-    its eigenvector over the names' volatilities at a gross exposure of 1 and earn the next ``step`` sessions. Each
-    rebalance is one group, of at most n_names names and window + step sessions. The first component has a positive net
-    weight; later signs follow the previous rebalance, through the weights they share, in a last pass over the few
-    rebalances.
+    its eigenvector over the names' volatilities at a gross exposure of 1 and earn the next ``step`` sessions. The fit of a
+    rebalance is one group, of at most n_names names and window sessions; what weights earn is a join and a sum. The
+    first component has a positive net weight; a later one starts so, and then points where the weights it shares with
+    the rebalance before do. Those products come from a join of neighbours, and signs from the parity of their flips.
     """
     kinds = dict(df.dtypes)
     sessions = df.select(day).distinct().withColumn("t", F.row_number().over(Window.orderBy(day)) - 1)
@@ -133,45 +143,39 @@ def eigenportfolios(df: DataFrame, key: str, day: str, ret: str, size: str, wind
         return df.sparkSession.createDataFrame([], f"{day} {kinds[day]}, component int, ret double, share double, n long")
     at = F.explode(F.array(*[F.lit(s) for s in starts])).alias("start")
     near = (F.col("t") >= F.col("start") - window) & (F.col("t") < F.col("start") + step)
-    rows = df.join(F.broadcast(sessions), day).select(day, key, ret, size, "t", at).where(near)
-    whole = rows.where("t < start").groupBy("start", key).agg(F.count(ret).alias("seen"), F.max_by(size, "t").alias("last_size"))
-    chosen = whole.where(F.col("seen") == window).withColumn("place", F.row_number().over(Window.partitionBy("start").orderBy(F.desc("last_size"), key)))
-    rows = rows.join(chosen.where(F.col("place") <= n_names).select("start", key), ["start", key])
+    rows = df.join(sessions, day).select(F.col(key).alias("name"), F.col(ret).alias("ret"), F.col(size).alias("size"), "t", at).where(near)
+    whole = rows.where("t < start").groupBy("start", "name").agg(F.count("ret").alias("seen"), F.max_by("size", "t").alias("size"), F.stddev_samp("ret").alias("sd"))
+    place = F.row_number().over(Window.partitionBy("start").orderBy(F.desc("size"), "name"))
+    chosen = whole.where(F.col("seen") == window).withColumn("place", place).where(F.col("place") <= n_names)
+    past = rows.where("t < start").join(chosen.where("sd > 0").select("start", "name", "sd"), ["start", "name"])
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        start = int(part["start"].iloc[0])
-        wide = part.pivot_table(index="t", columns=key, values=ret)
-        past, future = wide[wide.index < start], wide[wide.index >= start]
-        sd = past.std(ddof=1)
-        past, sd = past.loc[:, sd > 0], sd[sd > 0]
-        columns = ["start", "component", "names", "weights", "t", "ret", "share", "n"]
-        if past.shape[1] < 2 * k:
-            return pd.DataFrame(columns=columns)
-        _, s, v = np.linalg.svd(((past - past.mean()) / sd).to_numpy(), full_matrices=False)
-        weights = v[:k] / sd.to_numpy()
-        weights /= np.abs(weights).sum(axis=1, keepdims=True)
-        weights[0] *= 1 if weights[0].sum() >= 0 else -1
-        earned = future.reindex(columns=past.columns).fillna(0.0).to_numpy() @ weights.T
-        names = [str(c) for c in past.columns]
-        return pd.DataFrame([(start, j, names, weights[j].tolist(), future.index.tolist(), earned[:, j].tolist(), float(s[j] ** 2 / (s**2).sum()), len(names)) for j in range(k)], columns=columns)
-
-    fits = rows.groupBy("start").applyInPandas(fit, "start int, component int, names array<string>, weights array<double>, t array<long>, ret array<double>, share double, n long")
-
-    def aligned(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = pd.concat(list(parts)).sort_values(["component", "start"])
-        before: dict[int, dict] = {}
-        out = []
-        for r in found.itertuples():
-            now = dict(zip(r.names, r.weights))
-            sign = 1.0
-            if r.component and r.component in before:
-                old = before[r.component]
-                sign = -1.0 if sum(now[n] * old.get(n, 0.0) for n in now) < 0 else 1.0
-            elif r.component:
-                sign = -1.0 if sum(now.values()) < 0 else 1.0
-            before[r.component] = {n: sign * x for n, x in now.items()}
-            out += [(t, r.component, sign * x, r.share, r.n) for t, x in zip(r.t, r.ret)]
-        yield pd.DataFrame(out, columns=["t", "component", "ret", "share", "n"])
-
-    signed = fits.coalesce(1).mapInPandas(aligned, "t long, component int, ret double, share double, n long")
-    return signed.join(F.broadcast(sessions), "t").select(day, "component", "ret", "share", "n")
+        part = part.sort_values(["name", "t"])
+        names = part["name"].unique()
+        if len(names) < 2 * k:
+            return pd.DataFrame({c: [] for c in ("start", "component", "name", "weight", "share", "n")})
+        moves = part["ret"].to_numpy(float).reshape(len(names), -1)
+        risk = part["sd"].to_numpy(float).reshape(len(names), -1)[:, 0]
+        moves = (moves - moves.mean(axis=1, keepdims=True)) / risk[:, None]
+        value, session = np.linalg.eigh(moves.T @ moves)
+        top = np.argsort(value)[: -k - 1 : -1]
+        held = moves @ session[:, top] / risk[:, None]
+        held /= np.abs(held).sum(axis=0)
+        net = np.where(held.sum(axis=0) < 0, -1.0, 1.0)
+        share = value[top] / value.sum()
+        each = len(names)
+        return pd.DataFrame({"start": part["start"].iloc[0], "component": np.repeat(np.arange(k), each), "name": np.tile(names, k), "weight": (held * net).T.ravel(), "share": np.repeat(share, each), "n": each})
+
+    weights = past.groupBy("start").applyInPandas(fit, f"start int, component int, name {kinds[key]}, weight double, share double, n long")
+    turns = weights.select("start").distinct().withColumn("before", F.lag("start").over(Window.orderBy("start")))
+    now = weights.where("component > 0").join(turns, "start")
+    then = weights.select(F.col("start").alias("before"), "component", "name", F.col("weight").alias("old"))
+    overlap = now.join(then, ["before", "component", "name"], "left").groupBy("component", "start").agg(F.sum(F.col("weight") * F.col("old")).alias("overlap"))
+    so_far = Window.partitionBy("component").orderBy("start")
+    flips = F.sum(F.when(F.col("overlap") < 0, 1).otherwise(0)).over(so_far)
+    signs = overlap.select("start", "component", F.when(flips % 2 == 1, -1.0).otherwise(1.0).alias("sign"))
+    future = rows.where("t >= start").select("start", "name", "t", "ret")
+    earned = weights.join(future, ["start", "name"], "left").where("t is not null")
+    earned = earned.groupBy("start", "component", "t").agg(F.sum(F.coalesce(F.col("ret") * F.col("weight"), F.lit(0.0))).alias("ret"), F.first("share").alias("share"), F.first("n").alias("n"))
+    out = earned.join(signs, ["start", "component"], "left").join(sessions, "t")
+    return out.select(day, "component", (F.col("ret") * F.coalesce("sign", F.lit(1.0))).alias("ret"), "share", "n")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import two_sided_z
+from .ranges import at_least
 
 
 def move_z(moves: DataFrame, horizons: list[int], half_life: float = 15, window: int = 252, least: int = 63) -> DataFrame:
@@ -32,7 +33,6 @@ def move_z(moves: DataFrame, horizons: list[int], half_life: float = 15, window:
 def calibrated(raw: DataFrame) -> DataFrame:
     """Adds z: the normal quantile as rare as \\|z_raw\\| is in the pool of its family and horizon (rows with elig only)."""
     pool = raw.where("elig and z_raw is not null and not isnan(z_raw)").withColumn("size", F.abs("z_raw"))
-    group = Window.partitionBy("family", "h")
-    at_least = F.count(F.lit(1)).over(group.orderBy(F.desc("size")).rangeBetween(Window.unboundedPreceding, 0))
-    q = (at_least - 0.5) / F.count(F.lit(1)).over(group)
-    return pool.withColumn("q", q).select("family", "subject", "h", "date", "z_raw", (F.signum("z_raw") * two_sided_z(F.col("q"))).alias("z"))
+    counts = at_least(pool, ["family", "h"], "size")
+    q = (F.col("at_least") - 0.5) / F.col("all")
+    return pool.join(counts, ["family", "h", "size"]).withColumn("q", q).select("family", "subject", "h", "date", "z_raw", (F.signum("z_raw") * two_sided_z(F.col("q"))).alias("z"))

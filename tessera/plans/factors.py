@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.regress import cross_section, eigenportfolios, rolling_ridge, standardized, weighted_slope
+from ..operators.ranges import placed, tile
 from ..operators.scores import calibrated, move_z
 from ..operators.windows import ew_rms, newest, ordered, safe_corr
 from .panel import PANEL, RETS, returns, table
@@ -333,9 +334,9 @@ def holdings_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = newest(base_volatility(spark, sf_dir).withColumn("one", F.lit(1)), ["key"], F.desc("date"))
     top = rows.agg(F.max("date").alias("date"))
     rows = rows.join(F.broadcast(top), "date").where("base_vol is not null")
-    rows = rows.select("key", "base_vol", F.ntile(5).over(Window.orderBy("base_vol", "key")).alias("q"))
-    all_rows = Window.partitionBy()
-    z = -F.try_divide(F.col("q") - F.avg("q").over(all_rows), F.stddev_pop("q").over(all_rows))
+    rows = placed(rows.select("key", "base_vol"), "base_vol", "key").select("key", "base_vol", tile(F.col("place"), F.col("n"), 5).alias("q"))
+    rows = rows.crossJoin(F.broadcast(rows.agg(F.avg("q").alias("mean"), F.stddev_pop("q").alias("sd"))))  # one row
+    z = -F.try_divide(F.col("q") - F.col("mean"), F.col("sd"))
     scores = rows.select("key", "base_vol", F.least(F.greatest(z, F.lit(-3.0)), F.lit(3.0)).alias("z"))
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     value = lines.groupBy(F.col("p_brand").alias("fund"), F.col("l_suppkey").alias("key")).agg(F.sum("l_extendedprice").alias("v"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import month_number
-from ..operators.regress import newey_west, ridge
+from ..operators.regress import newey_west, ridge_from_sums
 from ..operators.simulate import bootstrap_paths
 from ..operators.windows import average_rank, safe_corr
 from .panel import table
@@ -151,27 +153,33 @@ def fund_signal_ic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fund_ridge_scores")
 def fund_ridge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Walk-forward ridge of the demeaned next return on ranked features, refitted yearly on earlier years only."""
+    """Walk-forward ridge of the demeaned next return on ranked features, refitted yearly on earlier years only, from sums by year."""
     names = ["r3", "r6", "vol12"]
     rows = features(spark, sf_dir).withColumn("n", F.count("*").over(Window.partitionBy("month")))
     scaled = [(average_rank(["month"], c) / (F.col("n") + 1) - 0.5).alias(c) for c in names]
     rows = rows.select("idx", "month", "mn", (F.col("nxt") - F.avg("nxt").over(Window.partitionBy("month"))).alias("y"), *scaled)
     years = [r[0] for r in rows.select(F.year("month")).distinct().collect()]
     plans = spark.createDataFrame([(y,) for y in sorted(years)[2:]], "fit_year int")
-    dealt = rows.join(F.broadcast(plans), F.year("month") <= F.col("fit_year"))
-
-    def fit(part: pd.DataFrame) -> pd.DataFrame:
-        year = int(part["fit_year"].iloc[0])
-        months = pd.to_datetime(part["month"])
-        # A label ends a month after its row, so December belongs to the next year.
-        past = part[(months < pd.Timestamp(year - 1, 12, 1)) & part["y"].notna()]
-        now = part[months.dt.year == year]
-        if len(past) < 20:
-            return pd.DataFrame(columns=["idx", "month", "score"], dtype=object)
-        beta, alpha = ridge(past[names].to_numpy(float), past[["y"]].to_numpy(float), 10.0)
-        return pd.DataFrame({"idx": now["idx"], "month": now["month"], "score": now[names].to_numpy(float) @ beta[:, 0] + alpha[0]})
-
-    return dealt.groupBy("fit_year").applyInPandas(fit, "idx string, month date, score double").select("idx", "month", F.round("score", 8).alias("score"))
+    # A label ends a month after its row, so December belongs to the next year.
+    known = rows.where("y is not null").withColumn("first_use", F.year(F.add_months("month", 1)) + 1)
+    cells = {"n": F.lit(1.0), "sy": F.col("y")} | {f"s_{a}": F.col(a) for a in names} | {f"y_{a}": F.col(a) * F.col("y") for a in names}
+    cells |= {f"q_{a}_{b}": F.col(a) * F.col(b) for a in names for b in names}
+    yearly = known.groupBy("first_use").agg(*[F.sum(c).alias(k) for k, c in cells.items()])
+    so_far = yearly.join(F.broadcast(plans), F.col("first_use") <= F.col("fit_year")).groupBy("fit_year").agg(*[F.sum(k).alias(k) for k in cells])  # both a row a year
+
+    def solve(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            out = []
+            for r in part.to_dict("records"):
+                if r["n"] >= 20:
+                    sx, sxy = (np.array([r[f"{p}_{a}"] for a in names]) for p in "sy")
+                    beta, alpha = ridge_from_sums(r["n"], sx, np.array([[r[f"q_{a}_{b}"] for b in names] for a in names]), r["sy"], sxy, 10.0)
+                    out.append((r["fit_year"], alpha, *beta.tolist()))
+            yield pd.DataFrame(out, columns=["fit_year", "alpha", *[f"b_{a}" for a in names]])
+
+    fits = so_far.mapInPandas(solve, f"fit_year int, alpha double, {', '.join(f'b_{a} double' for a in names)}")
+    score = sum((F.col(a) * F.col(f"b_{a}") for a in names), F.col("alpha"))
+    return rows.join(fits, F.year("month") == F.col("fit_year")).select("idx", "month", F.round(score, 8).alias("score"))
 
 
 @query(
@@ -209,12 +217,12 @@ def segment_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "holdings_weights",
-    """WITH v AS (SELECT l_suppkey AS fund, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS report, l_partkey AS line, sum(l_extendedprice) AS val, l_partkey % 10 <> 0 AS mapped FROM lineitem WHERE l_suppkey <= 20 GROUP BY 1, 2, 3)
+    """WITH v AS (SELECT l_suppkey AS fund, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS report, l_partkey AS line, sum(l_extendedprice) AS val, l_partkey % 10 <> 0 AS mapped FROM lineitem GROUP BY 1, 2, 3)
 SELECT fund, report, count(*) AS lines, round(sum(val) FILTER (WHERE mapped) / sum(val), 7) AS covered, round(max(val) / sum(val), 7) AS largest, count(*) FILTER (WHERE mapped) AS mapped_lines FROM v GROUP BY 1, 2""",
 )
 def holdings_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value of each report that maps to known lines, and the largest weight."""
-    lines = table(spark, sf_dir, "lineitem").where("l_suppkey <= 20")
+    lines = table(spark, sf_dir, "lineitem")
     value = lines.groupBy(F.col("l_suppkey").alias("fund"), F.trunc("l_shipdate", "quarter").alias("report"), F.col("l_partkey").alias("line")).agg(F.sum("l_extendedprice").alias("val"))
     mapped = F.col("line") % 10 != 0
     total = F.sum("val")

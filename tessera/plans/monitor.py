@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import asof_join
+from ..operators.ranges import at_least
 from ..operators.reshape import unpivot_known
 from ..operators.windows import newest, ordered, rolling_corr, top_k
 from .panel import PANEL, RETS, panel, returns, table
@@ -212,10 +212,9 @@ def upcoming_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT key, date, ret, CAST(coalesce(at_least, 0) AS BIGINT) AS at_least FROM x ASOF LEFT JOIN t ON x.p <= t.a""",
 )
 def movers_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three largest moves of a session with how many moves of the pool are as large, by a forward as-of on size."""
+    """The three largest moves of a session with how many moves of the pool are as large, counted by ranges of size."""
     rows = returns(spark, sf_dir).where("ret is not null")
-    pool = rows.groupBy(F.round(F.abs("ret"), 6).alias("a")).agg(F.count("*").alias("c"))
-    pool = pool.select("a", F.sum("c").over(Window.orderBy(F.desc("a"))).alias("at_least"), F.lit(1).alias("one"))  # one row a distinct size
-    top = top_k(rows, ["date"], 3, F.desc(F.abs("ret")), F.asc("key")).select("key", "date", "ret", F.round(F.abs("ret") * 0.9, 6).alias("p"), F.lit(1).alias("one"))
-    found = asof_join(top, pool, "p", "a", ["one"], direction="forward")
+    top = top_k(rows, ["date"], 3, F.desc(F.abs("ret")), F.asc("key")).select("key", "date", "ret", F.round(F.abs("ret") * 0.9, 6).alias("p"))
+    pool = rows.select(F.round(F.abs("ret"), 6).alias("p"), F.lit(1).alias("c")).unionByName(top.select("p", F.lit(0).alias("c")))
+    found = top.join(at_least(pool, [], "p", F.col("c")), "p")
     return found.select("key", "date", "ret", F.coalesce("at_least", F.lit(0)).cast("long").alias("at_least"))

@@ -383,12 +383,12 @@ def unpivot_factor_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "index_adds_drops",
-    """WITH m AS (SELECT DISTINCT CAST(date_trunc('year', l_shipdate) AS DATE) AS y, l_partkey AS part FROM lineitem WHERE l_suppkey <= 10), c AS (SELECT y, part, lead(y) OVER (PARTITION BY part ORDER BY y) AS next_y, lag(y) OVER (PARTITION BY part ORDER BY y) AS prev_y FROM m)
+    """WITH m AS (SELECT DISTINCT CAST(date_trunc('year', l_shipdate) AS DATE) AS y, l_partkey AS part FROM lineitem), c AS (SELECT y, part, lead(y) OVER (PARTITION BY part ORDER BY y) AS next_y, lag(y) OVER (PARTITION BY part ORDER BY y) AS prev_y FROM m)
 SELECT y, count(*) AS members, count(*) FILTER (WHERE prev_y IS NULL OR year(prev_y) < year(y) - 1) AS added, count(*) FILTER (WHERE next_y IS NULL OR year(next_y) > year(y) + 1) AS dropped FROM c GROUP BY 1""",
 )
 def index_adds_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of each year, those that were not there the year before, and those gone the year after."""
-    members = table(spark, sf_dir, "lineitem").where("l_suppkey <= 10").select(F.trunc("l_shipdate", "year").alias("y"), F.col("l_partkey").alias("part")).distinct()
+    members = table(spark, sf_dir, "lineitem").select(F.trunc("l_shipdate", "year").alias("y"), F.col("l_partkey").alias("part")).distinct()
     w = ordered(["part"], "y")
     rows = members.withColumn("gap", F.year("y") - F.year(F.lag("y").over(w))).withColumn("ahead", F.year(F.lead("y").over(w)) - F.year("y"))
     return rows.groupBy("y").agg(F.count("*").alias("members"), F.count_if(F.coalesce(F.col("gap") > 1, F.lit(True))).alias("added"), F.count_if(F.coalesce(F.col("ahead") > 1, F.lit(True))).alias("dropped"))
@@ -396,12 +396,12 @@ def index_adds_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "holdings_overlap",
-    """WITH w AS (SELECT l_suppkey AS fund, p_brand AS line, sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (PARTITION BY l_suppkey) AS weight FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey <= 20 GROUP BY 1, 2)
+    """WITH w AS (SELECT l_suppkey AS fund, p_brand AS line, sum(l_extendedprice) / sum(sum(l_extendedprice)) OVER (PARTITION BY l_suppkey) AS weight FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
 SELECT a.fund AS a, b.fund AS b, round(sum(least(a.weight, b.weight)), 6) AS overlap FROM w a JOIN w b ON a.line = b.line AND a.fund < b.fund GROUP BY 1, 2""",
 )
 def holdings_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shared weight of each pair of funds: the sum over lines of the smaller weight."""
-    lines = table(spark, sf_dir, "lineitem").where("l_suppkey <= 20").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     value = lines.groupBy(F.col("l_suppkey").alias("fund"), F.col("p_brand").alias("line")).agg(F.sum("l_extendedprice").alias("v"))
     weights = value.select("fund", "line", (F.col("v") / F.sum("v").over(Window.partitionBy("fund"))).alias("weight"))
     a, b = weights.toDF("a", "line", "wa"), weights.toDF("b", "line", "wb")

@@ -127,6 +127,19 @@ class Lake:
         files = rows.groupBy(*([ds.key] if ds.key else []), "file", "bytes").agg(F.count("*").alias("rows"))
         return files.groupBy(*([ds.key] if ds.key else [])).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
 
+    def _swap(self, fs, new, target) -> None:
+        """Puts a folder in another's place. The old one is set aside first, and comes back if the new one cannot be moved."""
+        aside, _ = self._path(f"_staged/old-{uuid.uuid4().hex}")
+        had = fs.exists(target)
+        if had:
+            fs.mkdirs(aside.getParent())
+            fs.rename(target, aside)
+        if not fs.rename(new, target):
+            if had:
+                fs.rename(aside, target)
+            raise OSError(f"{new} could not be moved to {target}")
+        fs.delete(aside, True)
+
     def publish(self, name: str, rows: DataFrame, rules: list[Rule] = (), order: list[str] = (), replace: bool = False) -> list[dt.date]:
         """Stages, audits, then publishes by rename. Partitions that exist stay as they are unless ``replace``.
 
@@ -143,21 +156,16 @@ class Lake:
             audit(self.spark.read.parquet(f"{self.root}/{staged}"), rules)
             target, _ = self._path(name)
             if not keys:
-                fs.delete(target, True)
                 fs.mkdirs(target.getParent())
-                fs.rename(source, target)
+                self._swap(fs, source, target)
                 return []
             fs.mkdirs(target)
             done = []
             for folder in [f.getPath() for f in fs.listStatus(source) if f.isDirectory()]:
                 place, _ = self._path(f"{name}/{folder.getName()}")
-                if fs.exists(place) and len(fs.listStatus(place)):
-                    if not replace:
-                        continue
-                    fs.delete(place, True)
-                elif fs.exists(place):
-                    fs.delete(place, True)
-                fs.rename(folder, place)
+                if fs.exists(place) and len(fs.listStatus(place)) and not replace:
+                    continue
+                self._swap(fs, folder, place)
                 done.append(dt.date.fromisoformat(folder.getName().split("=", 1)[1]))
             return sorted(done)
         finally:
