@@ -181,17 +181,20 @@ def files(uri: str) -> tuple:
 
 
 def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
-    """At most n - 1 ascending bounds that cut a long key into ranges of like size, from a quantile sketch over it alone."""
+    """At most n - 1 ascending bounds that cut a long key into ranges of like size, from a quantile sketch over it alone.
+
+    A key that fills several ranges is as many bounds.
+    """
     shares = [k / n for k in range(1, n)]
     if not shares:
         return []
     sketch = F.percentile_approx(key, F.array(*map(F.lit, shares)), F.lit(max(10_000, 20 * n)))
-    return sorted(set(df.select(sketch).first()[0] or []))
+    return sorted(df.select(sketch).first()[0] or [])
 
 
 def range_number(bounds: list[int], key: str) -> Column:
     """The number of a key's range, from 0; null keys are in the first."""
-    edges = np.array(bounds, np.int64)
+    edges = np.array(sorted(set(bounds)), np.int64)
 
     @F.pandas_udf("int")
     def place(keys: pd.Series) -> pd.Series:
@@ -201,3 +204,20 @@ def range_number(bounds: list[int], key: str) -> Column:
         return pd.Series(out)
 
     return place(F.col(key))
+
+
+def split_range_number(bounds: list[int], key: str, tie: str) -> Column:
+    """The number of a row's range, from 0, by (key, tie); ``tie`` is a long hash. Keys that are not null only.
+
+    A key that is one bound or several goes to the ranges around them by equal shares of the tie's values, in its order.
+    """
+    edges = np.array(bounds, np.int64)
+
+    @F.pandas_udf("int")
+    def place(keys: pd.Series, ties: pd.Series) -> pd.Series:
+        keys = keys.to_numpy(np.int64)
+        first, after = np.searchsorted(edges, keys, "left"), np.searchsorted(edges, keys, "right")
+        share = (ties.to_numpy(np.int64).astype(np.float64) + 2.0**63) / 2.0**64
+        return pd.Series(np.minimum(first + (share * (after - first + 1)).astype(np.int64), after).astype(np.int32))
+
+    return place(F.col(key), F.col(tie))

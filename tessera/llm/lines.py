@@ -7,6 +7,7 @@ constants, the hash that is nearest to it by exclusive or. Bands are triples of
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,10 +39,12 @@ TRIPLES = [t for i in range(13) for t in ((i, (i + 1) % 13, (i + 4) % 13), (i, (
 
 def shingles(line: Column) -> Column:
     """The distinct 64-bit hashes of a line's runs of SHINGLE units; a line shorter than that is one run."""
-    units = F.array(F.encode(line, "UTF-16BE"))
-    last = F.greatest(F.octet_length(F.encode(line, "UTF-16BE")) - (2 * SHINGLE - 1), F.lit(1))
-    runs = F.transform(units, lambda u: F.transform(F.sequence(F.lit(1), last, F.lit(2)), lambda i: F.xxhash64(F.substring(u, i, F.lit(2 * SHINGLE)))))
-    return F.array_distinct(F.get(runs, F.lit(0)))
+
+    def runs(units: Column) -> Column:
+        last = F.greatest(F.octet_length(units) - (2 * SHINGLE - 1), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last, F.lit(2)), lambda i: F.xxhash64(F.substring(units, i, F.lit(2 * SHINGLE))))
+
+    return F.array_distinct(_let(F.encode(line, "UTF-16BE"), runs))
 
 
 def _hashed(lines: DataFrame) -> DataFrame:
@@ -79,6 +82,11 @@ def _possible(n_a: Column, seen_a: Column, n_b: Column, seen_b: Column, percent:
     return (100 + percent) * differ <= (100 - percent) * (n_a + n_b)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is evaluated once, where lambdas would else evaluate it again and again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def bands(minima: Column) -> Column:
     """The bands of a signature."""
     return F.array(*[F.xxhash64(F.lit(n), *[minima[j] for j in t]) for n, t in enumerate(TRIPLES)])
@@ -221,19 +229,21 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
 
     Of a bucket without links, of at most star_rounds + 1 lines, the stars have compared all. Lines outside their
     bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS lines a side; two such
-    lines meet once. A pair is compared in its smallest common bucket only, first by bitmaps, which rule out no alike
-    pair, then on the sets of 64-bit hashes of all its shingles. A block states which components meet, not its pairs.
+    lines meet once. A pair is compared in its smallest common bucket only, and not with that bucket's smallest line,
+    which the stars have compared with all; first by bitmaps, which rule out no alike pair, then on the sets of 64-bit
+    hashes of all shingles, made once for each line that some pair asks for. A block states which components meet, not
+    its pairs.
     """
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
     rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
     sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("lines"))
     main = main.where((F.col("roots") > 1) & ((F.col("roots") < F.col("lines")) | (F.col("lines") > star_rounds + 1))).select("bucket", "main")
-    rest = stage(lookup(rooted, stage(main, "merge"), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root"), "merge")
+    rest = stage(lookup(rooted, stage(main, "merge"), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root", (F.col("x") == F.col("c")).alias("center")), "merge")
     if not rest.limit(1).count():
         return None
     busy = main.join(rest.select("bucket").distinct(), "bucket", "left_semi")
-    there = stage(lookup(rooted, stage(busy, "merge"), "bucket", hot=hot).select("bucket", "x", "root", (F.col("root") != F.col("main")).alias("apart")), "merge")
+    there = stage(lookup(rooted, stage(busy, "merge"), "bucket", hot=hot).select("bucket", "x", "root", (F.col("root") != F.col("main")).alias("apart"), (F.col("x") == F.col("c")).alias("center")), "merge")
     sized = there.join(texts.select(F.col("node").alias("x"), F.length("line").alias("n")), "x")
     ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_CHARS)).cast("int")
     n_all = sized.groupBy("bucket").agg(ways.alias("n_all"))
@@ -244,31 +254,37 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
         placed = lookup(side, grid, "bucket").withColumn("own", F.pmod(F.xxhash64("x"), own).cast("int"))
         placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         i, j = ("own", "other") if is_rest else ("other", "own")
-        return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), "apart", F.lit(is_rest).alias("is_rest"))
+        return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), "apart", "center", F.lit(is_rest).alias("is_rest"))
 
     both = dealt(rest.withColumn("apart", F.lit(True)), "n_rest", "n_all", True).unionByName(dealt(there, "n_all", "n_rest", False))
     asked = stage(there.select(F.col("x").alias("node")).distinct(), "merge")
     known = facts.join(asked.hint("merge"), "node").join(reps.select("node", bands(F.col("minima")).alias("bands")).hint("merge"), "node")
     known = stage(known.join(texts.hint("merge"), "node").withColumnRenamed("node", "x"))
-    row = F.struct("is_rest", "apart", "root", "bands", "seen", "n", "line")
+    row = F.struct("is_rest", "apart", "center", "root", "bands", "seen", "n", "line")
     blocks = both.join(known.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
-    def alike(a: Column, b: Column, bucket: Column) -> Column:
-        first = F.array_min(F.array_intersect(a["bands"], b["bands"])) == bucket
-        sets = F.array(F.struct(shingles(a["line"]).alias("a"), shingles(b["line"]).alias("b")))
-        shared = F.transform(sets, lambda s: F.struct(F.size(F.array_intersect(s["a"], s["b"])).alias("n"), (F.size(s["a"]) + F.size(s["b"])).alias("sum")))
-        linked = F.exists(shared, lambda s: 100 * s["n"] >= percent * (s["sum"] - s["n"]))
-        return _possible(a["n"], a["seen"], b["n"], b["seen"], percent) & first & linked
+    def possible(a: Column, b: Column) -> Column:
+        apart = ~a["center"] & ~b["center"] & F.when(b["apart"], a["root"] < b["root"]).otherwise(F.lit(True))
+        first = F.array_min(F.array_intersect(a["bands"], b["bands"])) == F.col("bucket")
+        return apart & _possible(a["n"], a["seen"], b["n"], b["seen"], percent) & first
+
+    def alike(a: Column, b: Column) -> Column:
+        return F.exists(F.array(F.size(F.array_intersect(a, b))), lambda shared: 100 * shared >= percent * (F.size(a) + F.size(b) - shared))
+
+    def links_of(fits: Column) -> Column:
+        asked = F.array_distinct(F.flatten(fits))
+        sets = F.transform("right", lambda b, j: F.struct(b["root"].alias("root"), F.when(F.array_contains(asked, j), shingles(b["line"])).alias("s")))
+        return _let(sets, lambda others: F.flatten(F.transform("left", lambda a, i: of_one(a, F.get(fits, i), others))))
+
+    def of_one(a: Column, near: Column, others: Column) -> Column:
+        own = F.when(F.size(near) > 0, shingles(a["line"]))
+        roots = _let(own, lambda s: F.transform(F.filter(near, lambda j: alike(s, F.get(others, j)["s"])), lambda j: F.get(others, j)["root"]))
+        return F.transform(F.array_distinct(roots), lambda o: F.struct(a["root"].alias("a"), o.alias("b")))
 
     blocks = blocks.select("bucket", F.filter("rows", lambda r: r["is_rest"]).alias("left"), F.filter("rows", lambda r: ~r["is_rest"]).alias("right"))
-    found = F.flatten(
-        F.transform(
-            "left",
-            lambda a: F.transform(
-                F.array_distinct(F.transform(F.filter("right", lambda b: F.when(b["apart"], a["root"] < b["root"]).otherwise(F.lit(True)) & alike(a, b, F.col("bucket"))), lambda b: b["root"])),
-                lambda o: F.struct(a["root"].alias("a"), o.alias("b")),
-            ),
-        )
-    )
+    blocks = blocks.where((F.size("left") > 0) & (F.size("right") > 0))
+    indexes = F.sequence(F.lit(0), F.size("right") - 1)
+    fits = F.transform("left", lambda a: F.filter(indexes, lambda j: possible(a, F.get(F.col("right"), j))))
+    found = _let(fits, links_of)
     merged = stage(blocks.select(F.explode(F.array_distinct(found)).alias("link")).select("link.*").distinct(), "merge")
     return merged if merged.limit(1).count() else None
 

@@ -22,7 +22,7 @@ from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import files, partitions, range_bounds, range_number
+from .common import files, partitions, range_bounds, split_range_number
 from .tokens import encoded
 
 MAGIC, VERSION = b"TRNK", 1
@@ -31,6 +31,8 @@ HEADER = struct.Struct("<4sIQQQQ")
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 #: Ids coded or decoded at a time (a multiple of 4).
 CHUNK = 1 << 20
+#: Ids of a file, about.
+FILE_IDS = 1 << 24
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -100,49 +102,59 @@ def parse(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, lengths, ids
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> list[tuple[str, int]]:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, file_ids: int = FILE_IDS) -> list[tuple[str, int]]:
     """Writes the ids of ``docs`` (doc_id long, text string), each document ended by ``end_id``, by ascending doc_id.
 
-    One file per range of documents, in ``folder`` (shared storage); a file appears whole or not at all and a task that
-    runs again writes the same bytes. Returns (path, number of ids) of each file in order, as many as there are
-    partitions at most. Null and empty texts are the end id alone, equal doc_ids go by text, null ones first (as the
-    smallest long). An empty table writes nothing.
+    Each range of documents has files of about ``file_ids`` ids (more only where the group of texts that reaches it has
+    more), in ``folder`` (shared storage), so a task holds one file's ids however large its range is; a file appears whole
+    or not at all and a task that runs again writes the same bytes. Returns (path, number of ids) of each file in order.
+    Null and empty texts are the end id alone, equal doc_ids go by a hash of the text, and fill several ranges if they
+    are many; null ones are first (as the smallest long). An empty table writes nothing.
     """
     n = partitions(docs.sparkSession)
-    bounds = range_bounds(docs.select("doc_id"), "doc_id", n)
-    numbered = docs.select("doc_id", "text", range_number(bounds, "doc_id").alias("shard"))
-    dealt = numbered.repartitionById(n, F.col("shard")).sortWithinPartitions("shard", "doc_id", "text")
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"), "text", F.xxhash64("text").alias("tie"))
+    bounds = range_bounds(keyed.select("key"), "key", n)
+    numbered = keyed.select("key", "text", "tie", split_range_number(bounds, "key", "tie").alias("shard"))
+    dealt = numbered.repartitionById(n, F.col("shard")).sortWithinPartitions("shard", "key", "tie", "text").select("key", "text", "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc_ids, lengths, parts, shard = [], [], [], 0
+        doc_ids, lengths, parts, size, shard, part = [], [], [], 0, 0, 0
         last = np.array([end_id], "<u4").tobytes()
+        fs, path = files(folder)
+
+        def flush() -> pa.RecordBatch:
+            ids = np.frombuffer(b"".join(parts), "<u4")
+            parts.clear()
+            fs.create_dir(path, recursive=True)
+            own, name = f"{path}/.{uuid.uuid4().hex}", f"{path}/tokens-{shard:06d}-{part:06d}.bin"
+            with fs.open_output_stream(own) as out:
+                for piece in file_bytes(np.concatenate(doc_ids), np.array(lengths), ids):
+                    out.write(piece)
+            try:
+                fs.move(own, name)
+            except OSError:  # another attempt of this task was first, with the same bytes
+                if fs.get_file_info(name).type == FileType.NotFound:
+                    raise
+                fs.delete_file(own)
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([part], pa.int32()), pa.array([len(ids)], pa.int64())], names=["shard", "part", "n"])
+
         for batch in batches:
             if batch.num_rows:
                 shard = batch.column(2)[0].as_py()
-            doc_ids.append(batch.column(0).cast(pa.int64()).fill_null(-(2**63)).to_numpy())
-            for _, group in encoded(tokenizer, batch.column(1)):
+            keys = batch.column(0).to_numpy()
+            for first, group in encoded(tokenizer, batch.column(1)):
+                doc_ids.append(keys[first : first + len(group)])
                 lengths.extend(len(raw) // 4 + 1 for raw in group)
                 parts.append(last.join([*group, b""]))
-        if not lengths:
-            return
-        ids = np.frombuffer(b"".join(parts), "<u4")
-        parts.clear()
-        fs, path = files(folder)
-        fs.create_dir(path, recursive=True)
-        part = f"{path}/.{uuid.uuid4().hex}"
-        with fs.open_output_stream(part) as out:
-            for piece in file_bytes(np.concatenate(doc_ids), np.array(lengths), ids):
-                out.write(piece)
-        try:
-            fs.move(part, f"{path}/tokens-{shard:06d}.bin")
-        except OSError:  # another attempt of this task was first, with the same bytes
-            if fs.get_file_info(f"{path}/tokens-{shard:06d}.bin").type == FileType.NotFound:
-                raise
-            fs.delete_file(part)
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64())], names=["shard", "n"])
-
-    rows = sorted(tuple(r) for r in dealt.mapInArrow(run, "shard int, n long").collect())
-    return [(f"{folder}/tokens-{shard:06d}.bin", n) for shard, n in rows]
+                size += len(parts[-1]) // 4
+                if size >= file_ids:
+                    yield flush()
+                    doc_ids, lengths, size, part = [], [], 0, part + 1
+        if lengths:
+            yield flush()
+
+    rows = sorted(tuple(r) for r in dealt.mapInArrow(run, "shard int, part int, n long").collect())
+    return [(f"{folder}/tokens-{shard:06d}-{part:06d}.bin", n) for shard, part, n in rows]
 
 
 def read_token_files(spark: SparkSession, manifest: list[tuple[str, int]], ids: bool = False) -> DataFrame:

@@ -66,8 +66,9 @@ def judged_pages(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     A page without a rule is blocked if its template's smoothed share of allowed labels is below LEAST, so a template
     without labels is allowed.
 
-    The tree is as deep as the deepest path; each level takes a few jobs. Null urls and urls without ``://`` have an empty host and path and no template, and are allowed. Equal urls get equal
-    answers. An empty table gives no rows.
+    The tree is as deep as two paths have a template in common: a path alone in its node keeps the rest of its segments.
+    Each level takes a few jobs. Null urls and urls without ``://`` have an empty host and path and no template, and are
+    allowed. Equal urls get equal answers. An empty table gives no rows.
     """
     url = F.col("url")
     parsed = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
@@ -82,10 +83,20 @@ def judged_pages(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     tree = stage(tree, "merge")
     depth = tree.agg(F.max(F.size("segments"))).first()[0] or 0
     sums = [F.sum(c).alias(c) for c in ("n", "bad", "good")]
+    ended = []
     for level in range(depth):
-        child = F.when(F.size("segments") > level, F.try_element_at(F.col("segments"), F.lit(level + 1)))
+        keyed = tree.withColumn("node", _key(F.col("host"), F.col("prefix")))
+        shared = stage(keyed.groupBy("node").agg(F.count("*").alias("leaves")), "merge")
+        keyed = stage(lookup(keyed, shared, "node"), "merge")
+        more = F.size("segments") > level
+        rest = F.concat("prefix", F.lit("/"), F.array_join(F.slice("segments", level + 1, F.greatest(F.size("segments"), F.lit(1))), "/"))
+        ended.append(keyed.where(~more | (F.col("leaves") == 1)).select("leaf", "host", "n", "bad", "good", F.when(more, rest).otherwise(F.col("prefix")).alias("prefix")))
+        tree = keyed.where(more & (F.col("leaves") > 1)).drop("leaves", "node")
+        if not tree.limit(1).count():
+            break
+        child = F.try_element_at(F.col("segments"), F.lit(level + 1))
         here = tree.withColumn("child", child).withColumn("node", _key(F.col("host"), F.col("prefix")))
-        branches = here.where("child is not null").groupBy("node", "child").agg(*sums)
+        branches = here.groupBy("node", "child").agg(*sums)
         branches = stage(branches.withColumn("kind", _key(*(F.round(4 * F.col(c) / F.col("n")).cast("int").cast("string") for c in ("bad", "good")))), "merge")
         totals = branches.groupBy("node").agg(F.count("*").alias("kids"), F.sum("n").alias("all"))
         pools = branches.groupBy("node", "kind").agg(F.count("*").alias("alike"), *(F.sum(c).alias(f"pool_{c}") for c in ("n", "bad", "good")))
@@ -105,9 +116,10 @@ def judged_pages(pages: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
         names = stage(sized.select(_key(F.col("node"), F.col("child")).alias("edge"), name.alias("name")), "merge")
         here = stage(here.withColumn("edge", _key(F.col("node"), F.col("child"))), "merge")
         found = lookup(here, names, "edge", "left")
-        step = F.when(F.col("child").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), F.coalesce("name", "child")))
+        step = F.concat("prefix", F.lit("/"), F.coalesce("name", "child"))
         tree = stage(found.select("leaf", "host", "segments", "n", "bad", "good", step.alias("prefix")), "merge")
 
+    tree = reduce(DataFrame.unionByName, [*ended, tree.select("leaf", "host", "n", "bad", "good", "prefix")])
     tree = tree.withColumn("node", _key(F.col("host"), F.col("prefix")))
     templates = tree.groupBy("node").agg(*sums)
     purity = (F.col("good") + STRENGTH * PRIOR) / (F.col("good") + F.col("bad") + STRENGTH)

@@ -134,20 +134,24 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, miss: float = 1e-5
 
     Returns vec_id, n_links, component_id, kept, one row per row. Cosines are exact, in double precision; a pair just at
     the threshold is not found with probability ``miss``. Equal vectors of a label are one vector with a weight, so
-    copies are not compared among themselves; they link with each other. Buckets are compared in blocks of BLOCK_ROWS
-    rows a side, so a bucket is never in one task.
+    copies are not compared among themselves; they link with each other. Equal rows of one vec_id are one vector, which
+    has no link to itself. Labels that are not whole numbers are told apart by a 64-bit hash of their text. Buckets are
+    compared in blocks of BLOCK_ROWS rows a side, so a bucket is never in one task.
 
     Null labels, null, empty or zero vectors and those with null or non-finite components link with nothing, nor do
     vectors of different lengths. Rows with a null vec_id have a null component, no links and are kept. An empty table
     gives no rows.
     """
     kind = dict(vectors.dtypes)["embedding"]
-    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("long").alias("label"))
+    whole = dict(vectors.dtypes)["label"] in ("tinyint", "smallint", "int", "bigint", "boolean")
+    label = F.col("label").cast("long") if whole else F.when(F.col("label").isNotNull(), F.xxhash64(F.col("label").cast("string")))
+    base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", label.alias("label"))
     usable = _valid() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     base = base.withColumn("print", F.when(usable, F.md5(F.concat(F.to_json(F.struct("label")), F.to_json(F.struct("embedding"))))))
     base = stage(base.select("vec_id", "embedding", "label", "print"))
     found = base.where("print is not null")
-    groups = stage(found.groupBy("print").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "merge")
+    each = found.select("print", "vec_id").distinct()
+    groups = stage(each.groupBy("print").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "merge")
     named = groups.select(F.col("rep").alias("vec_id"), F.col("print"), "weight")
     own = found.join(named, ["vec_id", "print"]).dropDuplicates(["vec_id", "print"])
     own = own.select(F.col("vec_id").alias("rep"), "label", F.col("embedding").cast(kind), "weight")

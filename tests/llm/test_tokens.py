@@ -85,6 +85,19 @@ def test_added_tokens_in_texts_get_the_ids_of_the_library(spark):
     assert {r.doc_id: r.ids_crc32 for r in cut} == {i: zlib.crc32(raw([*w, 2])) for i, w in enumerate(want)}
 
 
+def test_a_hot_id_fills_several_files_in_order(spark, plain):
+    """Two thirds of the rows share an id: ranges split it, files are cut by size, and equal ids stay together in order."""
+    rows = [(5, f"text number {i} of the hot id") for i in range(400)] + [(i, f"own {i}") for i in range(100, 300)] + [(None, "no id")] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    manifest = token_files.write_token_files(docs, f"{shared_dir(spark)}/files-e", PATH, 2, file_ids=500)
+    assert len(manifest) > 6 and max(n for _, n in manifest) < 0.5 * sum(n for _, n in manifest)
+    got = token_files.read_token_files(spark, manifest, ids=True).orderBy("start").collect()
+    ids = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(ids)
+    assert sorted(bytes(r.ids) for r in got) == sorted(raw([*plain(t), 2]) for _, t in rows)
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
+
+
 def test_token_files_of_odd_rows(spark, plain):
     docs = odd_documents(spark)
     manifest = token_files.write_token_files(docs, f"{shared_dir(spark)}/files-b", PATH, 2)

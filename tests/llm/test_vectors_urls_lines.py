@@ -57,7 +57,7 @@ def test_vectors_without_rows_or_ids(spark):
     kind = "vec_id long, embedding array<float>, label int"
     assert vectors.near_vectors(spark.createDataFrame([], kind)).count() == 0
     rows = vectors.near_vectors(spark.createDataFrame([(None, [1.0], 1), (1, [1.0], 1), (1, [1.0], 1)], kind)).collect()
-    assert sorted((r.vec_id or 0, r.n_links, r.kept) for r in rows) == [(0, 0, True), (1, 1, True), (1, 1, True)]
+    assert sorted((r.vec_id or 0, r.n_links, r.kept) for r in rows) == [(0, 0, True), (1, 0, True), (1, 0, True)]
 
 
 def plain_rule(host, path):
@@ -115,6 +115,12 @@ def test_templates_tell_deep_branches_apart(spark):
     assert [(got[i].rule, got[i].verdict) for i in (10, 21)] == [(None, "block"), (None, "allow")]
 
 
+def test_a_path_alone_in_its_node_keeps_its_segments(spark):
+    made = ["http://h.test/a/b/c/9", "http://h.test/a/x/y/z/w/v", "http://h.test/", "http://h.test", "http://h.test/a"]
+    got = {r.page_id: r.template for r in urls.judged_pages(spark.createDataFrame(list(enumerate(made)), "page_id long, url string")).collect()}
+    assert got[1].endswith("/w/v") and len(set(got.values())) >= 3
+
+
 def plain_lines(docs, percent):
     first, place = {}, {}
     for i, text in sorted(docs):
@@ -168,6 +174,41 @@ def test_short_and_digit_only_lines_equal_all_pairs(spark):
     assert {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in got} == want
 
 
+def test_recall_just_above_the_threshold(spark):
+    """Pairs of 80 to 90 %, of capitals, digits, code, words and other scripts, each kind found at 99 %."""
+    rng = random.Random(4)
+    kinds = {"capitals": "BCDFGHLNORSTUPK", "digits": "0123456789", "hex": "0123456789abcdef", "letters": "abcdefghij klmnop", "script": "абвгдежзиклмноп "}
+    docs, pairs, k = [], {}, lines.SHINGLE
+    for kind, signs in kinds.items():
+        for n in range(240):
+            size = rng.choice((24, 40, 100, 150, 400))
+            line = "".join(rng.choice(signs) for _ in range(size))
+            near = list(line)
+            for _ in range(max(1, size // 90)):
+                near[rng.randrange(size)] = rng.choice(signs)
+            near = "".join(near)
+            a, b = ({x[j : j + k] for j in range(len(x) - k + 1)} for x in (line, near))
+            if 0.8 <= len(a & b) / len(a | b) < 1:
+                pairs.setdefault(kind, []).append((2 * len(docs), line, near))
+                docs.append((2 * len(docs), line))
+                docs.append((docs[-1][0] + 1, near))
+    docs = [(i, text) for i, (_, text) in enumerate(docs)]
+    at = {text: i for i, text in docs}
+    got = {r.doc_id: r.first_doc_id for r in lines.line_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for kind, found in pairs.items():
+        linked = sum(got[at[x]] == got[at[y]] for _, x, y in found)
+        assert len(found) > 50 and linked >= 0.99 * len(found), (kind, linked, len(found))
+
+
+def test_rows_that_share_a_doc_id_keep_what_only_they_have(spark):
+    rows = [(0, "shared line of some length\nx other"), (1, "shared line of some length"), (1, "a line that nobody else has at all"), (None, "shared line of some length")]
+    out = lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.text) for r in out if r.doc_id is not None) == [(False, 0, rows[0][1]), (False, 1, rows[2][1])]
+    assert [r.text for r in out if r.doc_id is None] == [rows[3][1]]
+    same = lines.deduplicated(spark.createDataFrame([(7, "the very same row\ntwo"), (7, "the very same row\ntwo")], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.text) for r in same] == [(7, "the very same row\ntwo")]
+
+
 def test_lines_of_odd_rows(spark):
     docs = odd_documents(spark)
     got = lines.line_classes(docs).collect()
