@@ -27,7 +27,7 @@ def load() -> None:
     """Imports every module that registers queries."""
     from importlib import import_module
 
-    for name in ("research", "relational", "factors", "lake", "securities", "funds", "monitor", "serving", "evaluation"):
+    for name in ("research", "relational", "factors", "lake", "securities", "funds", "monitor", "serving", "evaluation", "models"):
         import_module(f"{__package__}.{name}")
 
 
