@@ -228,10 +228,10 @@ def calibrated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(c, 9) DESC, b) AS place FROM p)
 SELECT a, b, n, round(c, 6) AS c, place FROM r WHERE place <= 3""",
 )
-def related_by_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three names whose returns move most like each of ten names: an equi-join by session, then an aggregate."""
+def related_by_corr(spark: SparkSession, sf_dir: str, asked_for: tuple[int, ...] = tuple(range(1, 11))) -> DataFrame:
+    """The three of all names whose returns move most like each name asked for: an equi-join by session, then an aggregate."""
     rows = returns(spark, sf_dir).where("ret is not null")
-    a = rows.where("key <= 10").select("date", F.col("key").alias("a"), F.col("ret").alias("x"))
+    a = rows.where(F.col("key").isin(*asked_for)).select("date", F.col("key").alias("a"), F.col("ret").alias("x"))
     b = rows.select("date", F.col("key").alias("b"), F.col("ret").alias("y"))
     pairs = a.join(b, "date").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"), safe_corr(F.col("x"), F.col("y")).alias("c")).where("n >= 24")
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc(F.round("c", 9)), "b")).cast("long")
@@ -245,9 +245,10 @@ def related_by_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT a AS key, sum(wa.w * wb.w * c) AS v FROM cov JOIN w wa ON wa.key = a JOIN w wb ON wb.key = b GROUP BY 1)
 SELECT key, round(v / sum(v) OVER (), 6) AS share FROM part""",
 )
-def portfolio_variance_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each holding's part of a portfolio's variance; the parts sum to 1."""
-    rows = returns(spark, sf_dir).where("key <= 12 and ret is not null").select("date", "key", "ret", (F.col("key") / 78.0).alias("w"))
+def portfolio_variance_split(spark: SparkSession, sf_dir: str, largest: int = 12) -> DataFrame:
+    """Each holding's part of a portfolio's variance; the parts sum to 1. The portfolio holds names 1 to ``largest``, by their numbers."""
+    whole = largest * (largest + 1) / 2
+    rows = returns(spark, sf_dir).where((F.col("key") <= largest) & F.col("ret").isNotNull()).select("date", "key", "ret", (F.col("key") / whole).alias("w"))
     other = rows.toDF("date", "other", "other_ret", "other_w")
     cov = rows.join(other, "date").groupBy("key", "other").agg((F.first("w") * F.first("other_w") * F.covar_samp("ret", "other_ret")).alias("v"))
     parts = cov.groupBy("key").agg(F.sum("v").alias("v"))
@@ -333,7 +334,7 @@ def holdings_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted forecasts of what funds hold: skill times volatility times score, over the covered weight."""
     rows = newest(base_volatility(spark, sf_dir).withColumn("one", F.lit(1)), ["key"], F.desc("date"))
     top = rows.agg(F.max("date").alias("date"))
-    rows = rows.join(F.broadcast(top), "date").where("base_vol is not null")
+    rows = rows.join(F.broadcast(top), "date").where("base_vol is not null")  # one row
     rows = placed(rows.select("key", "base_vol"), "base_vol", "key").select("key", "base_vol", tile(F.col("place"), F.col("n"), 5).alias("q"))
     rows = rows.crossJoin(F.broadcast(rows.agg(F.avg("q").alias("mean"), F.stddev_pop("q").alias("sd"))))  # one row
     z = -F.try_divide(F.col("q") - F.col("mean"), F.col("sd"))

@@ -197,7 +197,7 @@ def spliced_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = own.select("fund", "month", "days", (F.col("last") / F.lag("last").over(w) - 1).alias("own_ret"), F.lag("month").over(w).alias("prev"))
     rows = index_returns(spark, sf_dir)
     first = rows.agg(F.min("idx").alias("idx"))
-    mapped = rows.join(F.broadcast(first), "idx").select("month", F.col("ret").alias("idx_ret"))
+    mapped = rows.join(F.broadcast(first), "idx").select("month", F.col("ret").alias("idx_ret"))  # one row
     whole = F.coalesce((F.col("days") >= 28) & (F.col("prev") == F.add_months("month", -1)), F.lit(False))
     return own.join(mapped, "month", "left").select("fund", "month", F.round(F.when(whole, F.col("own_ret")).otherwise(F.col("idx_ret")), 8).alias("ret"), whole.alias("own"))
 

@@ -133,7 +133,7 @@ def market_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = rows.agg(F.avg("ret").alias("mean"), F.stddev_samp("ret").alias("dispersion"), F.sum("dollar_volume").alias("turnover"))
     long = unpivot_known(wide, ["date"], ["mean", "dispersion", "turnover"], "measure", "value")
     last = long.groupBy("measure").agg(F.max_by("value", "date").alias("last"), F.avg("value").alias("avg"), F.stddev_samp("value").alias("sd"), F.count("*").alias("n"))
-    both = long.join(F.broadcast(last), "measure").groupBy("measure", "n")
+    both = long.join(F.broadcast(last), "measure").groupBy("measure", "n")  # one row a measure, of which there is a fixed list
     z = F.try_divide(F.first("last") - F.first("avg"), F.first("sd"))
     return both.agg(F.round(z, 5).alias("z"), F.round(F.avg(F.when(F.col("value") <= F.col("last"), 1.0).otherwise(0.0)), 6).alias("share_below"))
 

@@ -88,6 +88,7 @@ SELECT coalesce(band, 'other') AS band, count(*) AS n, round(sum(l_extendedprice
 def between_join_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines by the size range of their part; the three ranges are a broadcast table of fixed size."""
     bands = spark.createDataFrame([("small", 1, 15), ("medium", 16, 30), ("large", 31, 45)], "band string, low int, high int")
+    # The bands are a fixed list.
     parts = table(spark, sf_dir, "part").join(F.broadcast(bands), F.col("p_size").between(F.col("low"), F.col("high")), "left")
     lines = table(spark, sf_dir, "lineitem").join(parts, F.col("p_partkey") == F.col("l_partkey"))
     return lines.groupBy(F.coalesce("band", F.lit("other")).alias("band")).agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"))

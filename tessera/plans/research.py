@@ -251,7 +251,7 @@ SELECT signal, key, value, round((value - avg(value) OVER (PARTITION BY signal))
 def signal_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ranked_panel(spark, sf_dir)
     last = panel(spark, sf_dir).agg(F.max("date").alias("date"))
-    rows = rows.join(F.broadcast(last), "date")
+    rows = rows.join(F.broadcast(last), "date")  # one row
     own = Window.partitionBy("signal")
     z = F.try_divide(F.col("value") - F.avg("value").over(own), F.stddev_samp("value").over(own))
     return rows.select("signal", "key", "value", F.round(z, 5).alias("z"), bucket(F.col("avg_rank"), F.col("n"), 10).alias("decile"))

@@ -43,11 +43,11 @@ def clipped_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {RETS}, p AS (SELECT a.date, a.ret AS x, b.ret AS y, a.close / b.close AS ratio FROM rets a JOIN rets b ON a.date = b.date WHERE a.key = 1 AND b.key = 2)
 SELECT count(*) AS n, round(corr(x, y), 6) AS c, round(covar_pop(x, y) / nullif(var_pop(y), 0), 6) AS beta, round(avg(ratio), 6) AS mean_ratio, round((arg_max(ratio, date) - avg(ratio)) / nullif(stddev_samp(ratio), 0), 5) AS ratio_z FROM p WHERE x IS NOT NULL AND y IS NOT NULL""",
 )
-def pair_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How two names move together and where their ratio stands."""
+def pair_report(spark: SparkSession, sf_dir: str, one: int = 1, other: int = 2) -> DataFrame:
+    """How two names move together and where their ratio stands; the names are parameters."""
     rows = returns(spark, sf_dir)
-    a = rows.where("key = 1").select("date", F.col("ret").alias("x"), F.col("close").alias("p"))
-    b = rows.where("key = 2").select("date", F.col("ret").alias("y"), F.col("close").alias("q"))
+    a = rows.where(F.col("key") == one).select("date", F.col("ret").alias("x"), F.col("close").alias("p"))
+    b = rows.where(F.col("key") == other).select("date", F.col("ret").alias("y"), F.col("close").alias("q"))
     both = a.join(b, "date").where("x is not null and y is not null").withColumn("ratio", F.col("p") / F.col("q"))
     z = F.try_divide(F.max_by("ratio", "date") - F.avg("ratio"), F.stddev_samp("ratio"))
     return both.agg(
@@ -88,14 +88,14 @@ def name_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT a.key AS a, b.key AS b, round((a.x * b.x + a.y * b.y) / nullif(sqrt(a.x * a.x + a.y * a.y) * sqrt(b.x * b.x + b.y * b.y), 0), 6) AS cosine FROM b a JOIN b ON a.key <> b.key AND a.key <= 5), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS place FROM p)
 SELECT a, b, cosine FROM r WHERE place <= 3""",
 )
-def similar_by_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three names whose volatility-scaled loadings point most in the direction of each of five names."""
+def similar_by_loadings(spark: SparkSession, sf_dir: str, asked_for: tuple[int, ...] = (1, 2, 3, 4, 5)) -> DataFrame:
+    """The three of all names whose volatility-scaled loadings point most in the direction of each name asked for."""
     rows = returns(spark, sf_dir).where("ret is not null")
     even = F.col("key") % 2 == 0
     days = rows.groupBy("date").agg(F.avg("ret").alias("mkt"), (F.avg(F.when(even, F.col("ret"))) - F.avg(F.when(~even, F.col("ret")))).alias("style"))
     scaled = lambda f: F.try_divide(F.covar_pop("ret", f), F.var_pop(f)) * F.stddev_pop(f)
     loads = rows.join(days, "date").groupBy("key").agg(scaled("mkt").alias("x"), scaled("style").alias("y"))
-    asked = loads.where("key <= 5").select(F.col("key").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+    asked = loads.where(F.col("key").isin(*asked_for)).select(F.col("key").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
     pairs = loads.crossJoin(F.broadcast(asked)).where("a <> key")  # five fixed names against all
     size = F.sqrt(F.col("ax") ** 2 + F.col("ay") ** 2) * F.sqrt(F.col("x") ** 2 + F.col("y") ** 2)
     pairs = pairs.select("a", F.col("key").alias("b"), F.round(F.try_divide(F.col("ax") * F.col("x") + F.col("ay") * F.col("y"), size), 6).alias("cosine"))
@@ -104,12 +104,11 @@ def similar_by_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("mimic_portfolio")
-def mimic_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ridge portfolio of eight names that tracks the market out of sample, refitted every six months. No intercept is held."""
+def mimic_portfolio(spark: SparkSession, sf_dir: str, names: tuple[int, ...] = tuple(range(1, 9))) -> DataFrame:
+    """A ridge portfolio of the named assets that tracks the market out of sample, refitted every six months. No intercept is held."""
     rows = returns(spark, sf_dir).where("ret is not null")
     market = rows.groupBy("date").agg(F.avg("ret").alias("y"))
-    names = list(range(1, 9))
-    wide = rows.where(F.col("key").isin(names)).groupBy("date").pivot("key", names).agg(F.first("ret")).join(market, "date").withColumn("one", F.lit(1))
+    wide = rows.where(F.col("key").isin(*names)).groupBy("date").pivot("key", list(names)).agg(F.first("ret")).join(market, "date").withColumn("one", F.lit(1))
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("date").reset_index(drop=True)
