@@ -23,9 +23,14 @@ LEAST_HOT = 200
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's checkpoint folder; a local one only where none is set."""
+    """The folder that driver and executors share: the session's checkpoint folder.
+
+    Where none is set, a session in one process gets a local one; on a cluster that is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
         found = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
