@@ -76,17 +76,17 @@ def _bitmaps(lines: DataFrame) -> DataFrame:
     return rows.groupBy("node").agg(F.first("n").alias("n"), *[word(j) for j in range(WORDS)]).select("node", "n", F.array(*[f"s{j}" for j in range(WORDS)]).alias("seen"))
 
 
-def _possible(n_a: Column, seen_a: Column, n_b: Column, seen_b: Column, percent: int) -> Column:
-    """False for pairs that cannot be ``percent`` alike: their bitmaps differ in more bits than such lines in shingles."""
-    differ = sum((F.bit_count(F.get(seen_a, F.lit(j)).bitwiseXOR(F.get(seen_b, F.lit(j)))) for j in range(WORDS)), F.lit(0))
-    return (100 + percent) * differ <= (100 - percent) * (n_a + n_b)
-
-
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """The body with a value that is evaluated once, where lambdas would else evaluate it again and again."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _possible(n_a: Column, seen_a: Column, n_b: Column, seen_b: Column, percent: int) -> Column:
+    """False for pairs that cannot be ``percent`` alike: their bitmaps differ in more bits than such lines in shingles."""
+    differ = reduce(lambda x, y: x + y, (F.bit_count(F.get(seen_a, F.lit(j)).bitwiseXOR(F.get(seen_b, F.lit(j)))) for j in range(WORDS)))
+    return (100 + percent) * differ <= (100 - percent) * (n_a + n_b)
+
+
 def bands(minima: Column) -> Column:
     """The bands of a signature."""
     return F.array(*[F.xxhash64(F.lit(n), *[minima[j] for j in t]) for n, t in enumerate(TRIPLES)])
@@ -264,8 +264,9 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
     blocks = both.join(known.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
     def possible(a: Column, b: Column) -> Column:
         apart = ~a["center"] & ~b["center"] & F.when(b["apart"], a["root"] < b["root"]).otherwise(F.lit(True))
+        close = _let(a["seen"], lambda x: _let(b["seen"], lambda y: _possible(a["n"], x, b["n"], y, percent)))
         first = F.array_min(F.array_intersect(a["bands"], b["bands"])) == F.col("bucket")
-        return apart & _possible(a["n"], a["seen"], b["n"], b["seen"], percent) & first
+        return apart & close & first
 
     def alike(a: Column, b: Column) -> Column:
         return F.exists(F.array(F.size(F.array_intersect(a, b))), lambda shared: 100 * shared >= percent * (F.size(a) + F.size(b) - shared))
@@ -281,9 +282,10 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
         return F.transform(F.array_distinct(roots), lambda o: F.struct(a["root"].alias("a"), o.alias("b")))
 
     blocks = blocks.select("bucket", F.filter("rows", lambda r: r["is_rest"]).alias("left"), F.filter("rows", lambda r: ~r["is_rest"]).alias("right"))
+    facts_of = ("apart", "center", "root", "bands", "seen", "n")
+    numbered = F.transform("right", lambda b, j: F.struct(j.alias("j"), *[b[c].alias(c) for c in facts_of]))
     blocks = blocks.where((F.size("left") > 0) & (F.size("right") > 0))
-    indexes = F.sequence(F.lit(0), F.size("right") - 1)
-    fits = F.transform("left", lambda a: F.filter(indexes, lambda j: possible(a, F.get(F.col("right"), j))))
+    fits = _let(numbered, lambda others: F.transform("left", lambda a: F.transform(F.filter(others, lambda b: possible(a, b)), lambda b: b["j"])))
     found = _let(fits, links_of)
     merged = stage(blocks.select(F.explode(F.array_distinct(found)).alias("link")).select("link.*").distinct(), "merge")
     return merged if merged.limit(1).count() else None
