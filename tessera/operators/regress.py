@@ -11,28 +11,39 @@ from pyspark.sql import functions as F
 ROBUST, MAD_TO_SD = 5.0, 1.4826
 
 
-def standardized(df: DataFrame, by: list[str], value: str, weight: str, name: str, clip: float = 3.0) -> DataFrame:
-    """Adds a z-score within each group of ``by``: winsorized, centred on the weighted mean, over the population deviation.
+def standard_params(df: DataFrame, by: list[str], value: str, weight: str) -> DataFrame:
+    """What standardizes each group of ``by``: winsor bounds lo and hi (null without a spread), weighted mean mu, deviation sd, n.
+
+    Three small aggregates; no group is collected. Missing values count for nothing.
+    """
+    known = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), F.col(weight).alias("_w"))
+    middle = known.groupBy(*by).agg(F.median("_v").alias("_med"), F.count("_v").alias("n"))
+    spread = known.join(middle, by).groupBy(*by).agg((MAD_TO_SD * F.median(F.abs(F.col("_v") - F.col("_med")))).alias("_mad"))
+    reach = F.when(F.col("_mad") > 0, ROBUST * F.col("_mad"))
+    limits = middle.join(spread, by).select(*by, "n", (F.col("_med") - reach).alias("lo"), (F.col("_med") + reach).alias("hi"))
+    rows = known.join(limits, by).withColumn("_x", F.least(F.greatest("_v", "lo"), F.col("hi")))
+    mean = F.coalesce(F.try_divide(F.sum(F.col("_x") * F.col("_w")), F.sum("_w")), F.avg("_x"))
+    return rows.groupBy(*by).agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"), mean.alias("mu"), F.stddev_pop("_x").alias("sd"), F.first("n").alias("n"))
+
 
-    Missing values get 0, as do groups with fewer than 3 values or no spread. The parameters come from two small
-    aggregates that are joined back, so no group is collected.
+def standardize_with(df: DataFrame, params: DataFrame, by: list[str], value: str, name: str, clip: float = 3.0, how: str = "left") -> DataFrame:
+    """Adds the z-score of ``value`` under parameters of its group, which other rows may have given.
+
+    Missing values get 0, as do groups with fewer than 3 values or no spread. ``how`` is left, or inner to leave out rows
+    of groups without parameters.
     """
-    middle = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.median(value).alias("_med"), F.count(value).alias("_n"))
-    away = df.where(F.col(value).isNotNull()).join(middle, by).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
-    spread = away.groupBy(*by).agg((MAD_TO_SD * F.median("_dev")).alias("_mad"))
-    limits = middle.join(spread, by)
-    low = F.when(F.col("_mad") > 0, F.col("_med") - ROBUST * F.col("_mad"))
-    high = F.when(F.col("_mad") > 0, F.col("_med") + ROBUST * F.col("_mad"))
-    clipped = F.least(F.greatest(F.col(value), low), high)
-    rows = df.join(limits, by, "left").withColumn("_x", F.when(F.col(value).isNotNull(), clipped))
-    w = F.when(F.col("_x").isNotNull(), F.col(weight))
-    moments = rows.groupBy(*by).agg(F.coalesce(F.try_divide(F.sum(F.col("_x") * w), F.sum(w)), F.avg("_x")).alias("_mu"), F.stddev_pop("_x").alias("_sd"))
-    z = (F.col("_x") - F.col("_mu")) / F.col("_sd")
-    usable = F.col("_x").isNotNull() & (F.col("_n") >= 3) & (F.col("_sd") > 0)
-    scored = rows.join(moments, by).withColumn(name, F.when(usable, F.least(F.greatest(z, F.lit(-clip)), F.lit(clip))).otherwise(0.0))
+    own = params.select(*by, *[F.col(c).alias(f"_{c}") for c in ("lo", "hi", "mu", "sd", "n")])
+    z = (F.least(F.greatest(F.col(value), F.col("_lo")), F.col("_hi")) - F.col("_mu")) / F.col("_sd")
+    usable = F.col(value).isNotNull() & (F.col("_n") >= 3) & (F.col("_sd") > 0)
+    scored = df.join(own, by, how).withColumn(name, F.when(usable, F.least(F.greatest(z, F.lit(-clip)), F.lit(clip))).otherwise(0.0))
     return scored.select(*df.columns, name)
 
 
+def standardized(df: DataFrame, by: list[str], value: str, weight: str, name: str, clip: float = 3.0) -> DataFrame:
+    """Adds a z-score within each group of ``by``: winsorized, centred on the weighted mean, over the population deviation."""
+    return standardize_with(df, standard_params(df, by, value, weight), by, value, name, clip)
+
+
 def weighted_slope(x: Column, y: Column, w: Column) -> tuple[Column, Column]:
     """(intercept, slope) of a weighted regression on one variable, as aggregates."""
     sw, sx, sy = F.sum(w), F.sum(w * x), F.sum(w * y)

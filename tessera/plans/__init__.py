@@ -1 +1,5 @@
 """Named queries."""
+
+from . import registry
+
+registry.load()

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.regress import standard_params, standardize_with
 from ..operators.windows import filled, island, newest, ordered, trailing
 from .evaluation import factor_risk
 from .funds import INDEX, index_returns
-from .panel import PANEL, panel, table
+from .monitor import DAILY, TENORS, daily
+from .panel import PANEL, RETS, panel, returns, table
 from .registry import ORACLE_SQL, query
 from .research import by_key
 
@@ -217,3 +219,65 @@ def exceptions_board(spark: SparkSession, sf_dir: str) -> DataFrame:
         item("market", F.abs("market_corr") >= 0.5, F.format_string("%d correlation with the market %.2f", "key", "market_corr"), 5 * F.abs("market_corr"), F.signum("market_corr")),
     ]
     return risk.select("key", F.inline(F.array_compact(F.array(*items)))).select("area", "key", "message", "score", "direction")
+
+
+@query(
+    "coverage_exposures",
+    f"""WITH {PANEL}, u AS (SELECT * FROM panel WHERE key % 4 <> 0), m AS (SELECT date, median(volume) AS med, count(volume) AS n FROM u GROUP BY 1), d AS (SELECT date, 1.4826 * median(abs(volume - med)) AS mad FROM u JOIN m USING (date) GROUP BY 1), l AS (
+  SELECT date, n, CASE WHEN mad > 0 THEN med - 5 * mad ELSE -1e300 END AS lo, CASE WHEN mad > 0 THEN med + 5 * mad ELSE 1e300 END AS hi FROM m JOIN d USING (date)), p AS (
+  SELECT date, any_value(n) AS n, any_value(lo) AS lo, any_value(hi) AS hi, sum(least(greatest(volume, lo), hi) * dollar_volume) / sum(dollar_volume) AS mu, stddev_pop(least(greatest(volume, lo), hi)) AS sd FROM u JOIN l USING (date) GROUP BY 1)
+SELECT c.key, c.date, round(CASE WHEN n >= 3 AND sd > 0 THEN least(greatest((least(greatest(volume, lo), hi) - mu) / sd, -3), 3) ELSE 0 END, 6) AS z FROM panel c JOIN p USING (date) WHERE c.key % 4 = 0""",
+)
+def coverage_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names outside the estimation universe, standardized with the universe's parameters of the session."""
+    rows = panel(spark, sf_dir)
+    params = standard_params(rows.where("key % 4 <> 0"), ["date"], "volume", "dollar_volume")
+    scored = standardize_with(rows.where("key % 4 = 0"), params, ["date"], "volume", "z", how="inner")
+    return scored.select("key", "date", F.round("z", 6).alias("z"))
+
+
+@query(
+    "coverage_residuals",
+    f"""WITH {RETS}, x AS (SELECT key, date, ret, dollar_volume, ln(dollar_volume) AS size FROM rets WHERE ret IS NOT NULL), f AS (
+  SELECT date, count(*) AS n, regr_slope(ret, size) AS b, regr_intercept(ret, size) AS a FROM x WHERE key % 4 <> 0 GROUP BY 1), r AS (
+  SELECT x.key, x.date, x.ret, a AS market_part, b * size AS style_part, x.ret - a - b * size AS resid FROM x JOIN f USING (date) WHERE key % 4 = 0 AND n >= 5 AND b IS NOT NULL)
+SELECT key, date, round(ret, 7) AS ret, round(market_part, 6) AS market_part, round(style_part, 6) AS style_part, round(resid, 6) AS resid, round(CASE WHEN count(resid) OVER w >= 6 THEN stddev_samp(resid) OVER w END, 6) AS spec_vol FROM r
+WINDOW w AS (PARTITION BY key ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def coverage_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns of covered names less what the universe's cross-section of the session explains, and their earlier spread."""
+    rows = returns(spark, sf_dir).where("ret is not null").withColumn("size", F.ln("dollar_volume"))
+    fits = rows.where("key % 4 <> 0").groupBy("date").agg(F.count("*").alias("n"), F.regr_slope("ret", "size").alias("b"), F.regr_intercept("ret", "size").alias("a")).where("n >= 5 and b is not null")
+    own = rows.where("key % 4 = 0").join(fits, "date").select("key", "date", "ret", F.col("a").alias("market_part"), (F.col("b") * F.col("size")).alias("style_part"))
+    own = own.withColumn("resid", F.col("ret") - F.col("market_part") - F.col("style_part"))
+    before = by_key().rowsBetween(Window.unboundedPreceding, -1)
+    vol = F.when(F.count("resid").over(before) >= 6, F.stddev_samp("resid").over(before))
+    return own.select("key", "date", F.round("ret", 7).alias("ret"), F.round("market_part", 6).alias("market_part"), F.round("style_part", 6).alias("style_part"), F.round("resid", 6).alias("resid"), F.round(vol, 6).alias("spec_vol"))
+
+
+@query(
+    "macro_factors",
+    f"""WITH {DAILY}, l AS (SELECT date, view - lag(view) OVER w AS view, click - lag(click) OVER w AS click, error - lag(error) OVER w AS error, purchase - lag(purchase) OVER w AS purchase, signup - lag(signup) OVER w AS signup FROM d WINDOW w AS (ORDER BY date))
+SELECT date, round(view, 7) AS view, round(click, 7) AS click, round(error, 7) AS error, round(purchase, 7) AS purchase, round(signup, 7) AS signup,
+  concat_ws('|', CASE WHEN view IS NULL THEN 'view' END, CASE WHEN click IS NULL THEN 'click' END, CASE WHEN error IS NULL THEN 'error' END, CASE WHEN purchase IS NULL THEN 'purchase' END, CASE WHEN signup IS NULL THEN 'signup' END) AS pending FROM l""",
+)
+def macro_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily changes of each series, and which of them are not observed yet; one row a day, so one window."""
+    w = Window.orderBy("date")
+    rows = daily(spark, sf_dir).select("date", *[(F.col(c) - F.lag(c).over(w)).alias(c) for c in TENORS])
+    pending = F.concat_ws("|", *[F.when(F.col(c).isNull(), F.lit(c)) for c in TENORS])
+    return rows.select("date", *[F.round(c, 7).alias(c) for c in TENORS], pending.alias("pending"))
+
+
+@query(
+    "search_names",
+    """WITH n AS (SELECT s_suppkey AS key, s_name AS name, CASE WHEN CAST(s_suppkey AS VARCHAR) = '7' THEN 0 WHEN lower(s_name) = '7' THEN 1 WHEN CAST(s_suppkey AS VARCHAR) LIKE '7%' THEN 2 WHEN contains(lower(s_name), '7') THEN 3 END AS rank FROM supplier)
+SELECT key, name, rank FROM n WHERE rank IS NOT NULL ORDER BY rank, length(name), key LIMIT 10""",
+)
+def search_names(spark: SparkSession, sf_dir: str, asked: str = "7", most: int = 10) -> DataFrame:
+    """The names that best answer a search, a top-k report: the symbol itself, the whole name, a symbol's start, any part of a name."""
+    text = asked.lower()
+    symbol, name = F.col("s_suppkey").cast("string"), F.lower("s_name")
+    rank = F.when(symbol == text, 0).when(name == text, 1).when(symbol.startswith(text), 2).when(name.contains(text), 3)
+    found = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), rank.alias("rank")).where("rank is not null")
+    return found.orderBy("rank", F.length("name"), "key").limit(most)

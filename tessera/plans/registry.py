@@ -29,6 +29,3 @@ def load() -> None:
 
     for name in ("research", "relational", "factors", "lake", "securities", "funds", "monitor", "serving", "evaluation", "models"):
         import_module(f"{__package__}.{name}")
-
-
-load()

@@ -75,6 +75,88 @@ def first_section(text: str) -> tuple[list[str], list[tuple[str, list[str]]]]:
     return columns, rows
 
 
+def sections(text: str) -> list[tuple[str, list[str], list[tuple[str, list[str]]]]]:
+    """Every table of a sectioned CSV: (title, columns, rows). A title is the last line of text before a header line."""
+    found: list[tuple[str, list[str], list[tuple[str, list[str]]]]] = []
+    title, dated = "", re.compile(r"\d{4}|\d{6}|\d{8}")
+    for line in text.splitlines():
+        cells = [c.strip() for c in line.split(",")]
+        if dated.fullmatch(cells[0]) and len(cells) > 1 and found:
+            found[-1][2].append((cells[0], cells[1 : len(found[-1][1]) + 1]))
+        elif len(cells) > 1 and not cells[0] and any(cells):
+            found.append((title, cells[1:], []))
+        elif cells[0]:
+            title = " ".join(line.split())
+    return [f for f in found if f[2]]
+
+
+def sections_zip(spark: SparkSession, glob: str) -> DataFrame:
+    """All tables of all members of zipped CSV files in long form: file, member, section, date, name, value (a fraction, null if missing).
+
+    Yearly rows are dated 1 January. One file is one row of binaryFile, parsed on the executors.
+    """
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for member in z.namelist():
+                        out = []
+                        for title, columns, rows in sections(z.read(member).decode("latin-1")):
+                            for date, values in rows:
+                                day = dt.date(int(date[:4]), int(date[4:6] or 1), int(date[6:] or 1))
+                                out += [(path.rsplit("/", 1)[-1], member, title, day, c, float(v)) for c, v in zip(columns, values) if v]
+                        yield pd.DataFrame(out, columns=["file", "member", "section", "date", "name", "value"])
+
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    rows = files.mapInPandas(parse, "file string, member string, section string, date date, name string, value double")
+    return rows.withColumn("value", percent(F.col("value")))
+
+
+def workbook_rows(content: bytes, sheet: str) -> Iterator[tuple[int, dict[str, str]]]:
+    """(row number, cells by column letter) of a sheet in an XLSX file, from its XML; shared strings are resolved, values are text."""
+    from xml.etree import ElementTree as tree
+
+    main, rel = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}", "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        strings = []
+        if "xl/sharedStrings.xml" in z.namelist():
+            strings = ["".join(t.text or "" for t in item.iter(f"{main}t")) for item in tree.fromstring(z.read("xl/sharedStrings.xml"))]
+        ids = {s.get("name"): s.get(f"{rel}id") for s in tree.fromstring(z.read("xl/workbook.xml")).iter(f"{main}sheet")}
+        targets = {r.get("Id"): r.get("Target") for r in tree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        place = targets[ids[sheet]].lstrip("/")
+        for row in tree.fromstring(z.read(place if place.startswith("xl/") else f"xl/{place}")).iter(f"{main}row"):
+            cells = {}
+            for cell in row.iter(f"{main}c"):
+                value = cell.findtext(f"{main}v")
+                if cell.get("t") == "inlineStr":
+                    value = "".join(t.text or "" for t in cell.iter(f"{main}t"))
+                elif cell.get("t") == "s" and value is not None:
+                    value = strings[int(value)]
+                if value is not None:
+                    cells[re.match("[A-Z]+", cell.get("r"))[0]] = value
+            yield int(row.get("r")), cells
+
+
+def workbook(spark: SparkSession, glob: str, sheet: str, columns: dict[str, str], first_row: int) -> DataFrame:
+    """Rows of one sheet of XLSX files from ``first_row`` on: file, line, and a string column for each column letter named."""
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                rows = [(path.rsplit("/", 1)[-1], n, *[cells.get(c) for c in columns]) for n, cells in workbook_rows(content, sheet) if n >= first_row and cells]
+                yield pd.DataFrame(rows, columns=["file", "line", *columns.values()])
+
+    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    return files.mapInPandas(parse, "file string, line int" + "".join(f", `{c}` string" for c in columns.values()))
+
+
+def newest_vintage(page: str, pattern: str) -> str | None:
+    """The link of a page that matches ``pattern`` and whose first group, a vintage, is the largest; None without any."""
+    links = [m for link in re.findall(r"href=[\"']([^\"']+)", page) if (m := re.search(pattern, link))]
+    return max(links, key=lambda m: m[1]).string if links else None
+
+
 def sectioned_zip(spark: SparkSession, glob: str) -> DataFrame:
     """The first sections of zipped CSV files in long form: file, date, name, value (a fraction, null if missing).
 

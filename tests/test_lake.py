@@ -200,3 +200,33 @@ def test_payload(spark):
     assert json.loads(text) == {"a": [{"k": 1, "x": None, "d": "2024-01-02", "l": [1.0, None]}], "b": []}
     with pytest.raises(ValueError):
         payload({"big": spark.range(20_000)})
+
+
+def test_all_sections_of_a_zip(spark, tmp_path):
+    text = "Made by hand\n\n  Value weighted returns -- monthly\n,NoDur,Durbl\n192607,  1.45, 15.55\n192608,  3.97, -99.99\n\n  Annual\n,NoDur,Durbl\n1927, 10.0, 20.0\n\nCopyright\n"
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        z.writestr("a.csv", text)
+        z.writestr("b.csv", text.replace("1.45", "2.45"))
+    rows = readers.sections_zip(spark, f"{tmp_path}/*.zip").collect()
+    got = {(r.member, r.section, str(r.date), r.name): r.value for r in rows}
+    assert len(rows) == 12 and got["a.csv", "Value weighted returns -- monthly", "1926-07-01", "NoDur"] == pytest.approx(0.0145)
+    assert got["b.csv", "Value weighted returns -- monthly", "1926-07-01", "NoDur"] == pytest.approx(0.0245)
+    assert got["a.csv", "Annual", "1927-01-01", "Durbl"] == pytest.approx(0.2) and got["a.csv", "Value weighted returns -- monthly", "1926-08-01", "Durbl"] is None
+
+
+def test_a_sheet_of_a_workbook(spark, tmp_path):
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(tmp_path / "w.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="{rel}"><sheets><sheet name="Other" sheetId="1" r:id="r1"/><sheet name="Monthly" sheetId="2" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>1960M01</t></si><si><r><t>Cop</t></r><r><t>per</t></r></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData/></worksheet>")
+        z.writestr("xl/worksheets/sheet2.xml", f'<worksheet {ns}><sheetData><row r="1"><c r="B1" t="s"><v>1</v></c></row><row r="2"><c r="A2" t="s"><v>0</v></c><c r="B2"><v>678.5</v></c><c r="D2" t="inlineStr"><is><t>note</t></is></c></row></sheetData></worksheet>')
+    rows = readers.workbook(spark, f"{tmp_path}/*.xlsx", "Monthly", {"A": "month", "B": "price", "C": "gap", "D": "note"}, 2).collect()
+    assert [tuple(r) for r in rows] == [("w.xlsx", 2, "1960M01", "678.5", None, "note")]
+
+
+def test_the_newest_vintage_of_a_page():
+    page = '<a href="/data/q_daily_2023.csv">x</a> <a href=\'/data/q_daily_2024.csv\'>y</a> <a href="/data/other_2025.csv">z</a>'
+    assert readers.newest_vintage(page, r"q_daily_(\d{4})\.csv") == "/data/q_daily_2024.csv" and readers.newest_vintage(page, r"none_(\d+)") is None
