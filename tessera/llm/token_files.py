@@ -142,7 +142,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
             if batch.num_rows:
                 shard = batch.column(2)[0].as_py()
             keys = batch.column(0).to_numpy()
-            for first, group in encoded(tokenizer, batch.column(1)):
+            for first, group in encoded(tokenizer, batch.column(1), min(1 << 21, 4 * file_ids)):
                 doc_ids.append(keys[first : first + len(group)])
                 lengths.extend(len(raw) // 4 + 1 for raw in group)
                 parts.append(last.join([*group, b""]))
