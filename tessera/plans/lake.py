@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.lake import event_keys, newest_pull, restatement
+from ..sources.lake import Dataset, Lake, event_keys, newest_pull, restatement
 from ..operators.windows import ordered
 from .panel import PANEL, panel, table
 from .registry import query
@@ -22,8 +23,9 @@ def scan_partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("optional_source_empty", "SELECT CAST(NULL AS BIGINT) AS key, CAST(NULL AS DOUBLE) AS value WHERE false")
 def optional_source_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A source without files: an empty table with its types."""
-    return spark.createDataFrame([], "key long, value double")
+    """A source without files, read through the lake: an empty table with its types."""
+    kind = T.StructType().add("key", T.LongType()).add("value", T.DoubleType())
+    return Lake(spark, f"{sf_dir}/not-published").register(Dataset("optional", key=None, schema=kind)).read("optional")
 
 
 PULLS = "pulls AS (SELECT l_partkey AS key, CAST(date_trunc('year', l_shipdate) AS DATE) AS pulled, CASE WHEN (l_partkey + year(l_shipdate)) % 3 <> 0 THEN max(l_quantity) END AS value FROM lineitem GROUP BY 1, 2, (l_partkey + year(l_shipdate)) % 3)"
