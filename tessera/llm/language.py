@@ -21,6 +21,8 @@ BUCKETS, DIM = 1 << 15, 16
 #: Characters whose subwords are gathered at a time.
 CHUNK = 1 << 17
 UNKNOWN = "und"
+#: The most languages that a model is trained for.
+MOST_LANGUAGES = 500
 _LETTER = re.compile(r"[^\W\d_]")
 _IS_LETTER = np.array([chr(c).isalpha() for c in range(65536)])
 _MULTIPLIERS = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
@@ -147,10 +149,13 @@ def train(labelled: DataFrame, per_language: int = 600) -> LanguageModel:
     """Fits the model on a sample of ``labelled`` (doc_id, text, lang): at most about ``per_language`` documents each.
 
     The sample is the documents with the smallest hashes of doc_id; only counts of subwords reach the driver. Rows with
-    a null language or without letters teach nothing. No rows give a model that says ``und``.
+    a null language or without letters teach nothing. No rows give a model that says ``und``. More than MOST_LANGUAGES
+    are an error, so what reaches the driver is bounded.
     """
     known = labelled.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
+    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
     for lang, n in sizes.items():
