@@ -41,18 +41,23 @@ def _valid(embedding: str = "embedding") -> Column:
     return F.coalesce(column.isNotNull() & (F.size(column) > 0) & finite & F.exists(column, lambda x: x != 0), F.lit(False))
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of a list column without nulls: row i has values[offsets[i] : offsets[i + 1]]."""
+    return column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+
+
 def _keyed(rows: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
     """Adds ``keys``: one bucket number a table, mixed with label and dimension, so only like vectors can meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).to_numpy()
-            vectors = batch.column(2).to_pylist()
-            keys = np.zeros((len(vectors), tables), np.int64)
-            sizes = np.array([len(v) for v in vectors])
+            values, offsets = _flat(batch.column(2))
+            sizes = np.diff(offsets)
+            keys = np.zeros((len(sizes), tables), np.int64)
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                x = np.array([vectors[i] for i in at], np.float64)
+                x = values[offsets[at][:, None] + np.arange(size)].astype(np.float64)
                 signs = sign_keys(x / np.abs(x).max(axis=1, keepdims=True), bits, tables, seed)
                 group = mix(label[at].astype(np.int64).astype(U) * U(0x9E3779B97F4A7C15) + U(int(size)))
                 order = np.arange(1, tables + 1, dtype=U) * U(0xD6E8FEB86659FD93)
@@ -74,24 +79,20 @@ def _blocks(rows: DataFrame, grid: DataFrame, vectors: DataFrame, threshold: flo
     placed = placed.select("bucket", "t", "rep", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     full = placed.join(vectors, "rep").repartition(partitions(rows.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "own", "rep")
 
-    def compare(group: list[tuple], i: int, j: int, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        reps = np.array([g[0] for g in group])
+    def compare(reps: np.ndarray, own: np.ndarray, weight: np.ndarray, x: np.ndarray, keys: np.ndarray, across: bool, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         if len(reps) < 2:
             return None
-        x = np.array([g[2] for g in group], np.float64)
+        x = x.astype(np.float64)
         x /= np.abs(x).max(axis=1, keepdims=True)
         norm = np.sqrt((x * x).sum(axis=1))
         near = (x @ x.T) / (norm[:, None] * norm) >= threshold
         np.fill_diagonal(near, False)
-        if i != j:
-            own = np.array([g[1] for g in group])
+        if across:
             near &= own[:, None] != own
         if not near.any():
             return None
         a, b = np.nonzero(near)
-        keys = np.array([g[4] for g in group])
         fresh = ~(keys[a, :t] == keys[b, :t]).any(axis=1)
-        weight = np.array([g[3] for g in group])
         links = np.bincount(a[fresh], weights=weight[b[fresh]], minlength=len(reps)).astype(np.int64)
         root = reps.copy()
         while True:
@@ -104,20 +105,33 @@ def _blocks(rows: DataFrame, grid: DataFrame, vectors: DataFrame, threshold: flo
         return reps[used], links[used], root[used]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, group = None, []
-
-        def flush() -> tuple | None:
-            return compare(group, at[1], at[2], at[3]) if at else None
+        at, parts = None, []
+
+        def flush() -> list:
+            if at is None:
+                return []
+            reps, own, weight, size, values, keys = (np.concatenate([p[k] for p in parts]) for k in range(6))
+            out, starts = [], np.cumsum(size) - size
+            for length in np.unique(size):  # one, but for equal hashes of different lengths
+                on = np.flatnonzero(size == length)
+                out.append(compare(reps[on], own[on], weight[on], values[starts[on][:, None] + np.arange(length)], keys[on], at[1] != at[2], at[3]))
+            return out
 
         for batch in batches:
-            found = []
-            for bucket, t, rep, own, i, j, embedding, weight, keys in zip(*(c.to_pylist() for c in batch.columns)):
-                if at is None or (bucket, i, j) != at[:3]:
-                    found.append(flush())
-                    at, group = (bucket, i, j, t), []
-                group.append((rep, own, embedding, weight, keys))
+            found: list = []
+            if batch.num_rows:
+                bucket, t, rep, own, i, j = (batch.column(k).to_numpy() for k in range(6))
+                (values, offsets), weight, (all_keys, key_offsets) = _flat(batch.column(6)), batch.column(7).to_numpy(), _flat(batch.column(8))
+                keys = all_keys[key_offsets[0] : key_offsets[-1]].reshape(batch.num_rows, -1)
+                new = (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+                edges = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+                for a, b in zip(edges, edges[1:]):
+                    if at is None or (bucket[a], i[a], j[a]) != at[:3]:
+                        found += flush()
+                        at, parts = (bucket[a], i[a], j[a], t[a]), []
+                    parts.append((rep[a:b], own[a:b], weight[a:b], np.diff(offsets[a : b + 1]), values[offsets[a] : offsets[b]], keys[a:b]))
             yield from _result(found)
-        yield from _result([flush()])
+        yield from _result(flush())
 
     columns = ["bucket", "t", "rep", "own", "i", "j", "embedding", "weight", "keys"]
     return full.select(*columns).mapInArrow(run, "rep long, links long, root long")
