@@ -297,7 +297,7 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     A row that had text and loses every line that is not white space goes; all its lines are kept elsewhere. Rows are
     told apart by a number of their own, so rows that share a doc_id keep what only they have.
     """
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()))
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), codec="zstd")
     gone = line_classes(rows, row="_row", **options).where("not kept").groupBy("_row").agg(F.collect_set("line_no").alias("_gone"))
     left = rows.join(gone.hint("merge"), "_row", "left")
     rest = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains("_gone", at))
