@@ -228,7 +228,7 @@ def calibrated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(c, 9) DESC, b) AS place FROM p)
 SELECT a, b, n, round(c, 6) AS c, place FROM r WHERE place <= 3""",
 )
-def related_by_corr(spark: SparkSession, sf_dir: str, asked_for: tuple[int, ...] = tuple(range(1, 11))) -> DataFrame:
+def related_by_corr(spark: SparkSession, sf_dir: str, asked_for: tuple[int, ...] = tuple(range(11))) -> DataFrame:
     """The three of all names whose returns move most like each name asked for: an equi-join by session, then an aggregate."""
     rows = returns(spark, sf_dir).where("ret is not null")
     a = rows.where(F.col("key").isin(*asked_for)).select("date", F.col("key").alias("a"), F.col("ret").alias("x"))

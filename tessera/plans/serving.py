@@ -88,7 +88,7 @@ def name_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT a.key AS a, b.key AS b, round((a.x * b.x + a.y * b.y) / nullif(sqrt(a.x * a.x + a.y * a.y) * sqrt(b.x * b.x + b.y * b.y), 0), 6) AS cosine FROM b a JOIN b ON a.key <> b.key AND a.key <= 5), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS place FROM p)
 SELECT a, b, cosine FROM r WHERE place <= 3""",
 )
-def similar_by_loadings(spark: SparkSession, sf_dir: str, asked_for: tuple[int, ...] = (1, 2, 3, 4, 5)) -> DataFrame:
+def similar_by_loadings(spark: SparkSession, sf_dir: str, asked_for: tuple[int, ...] = tuple(range(6))) -> DataFrame:
     """The three of all names whose volatility-scaled loadings point most in the direction of each name asked for."""
     rows = returns(spark, sf_dir).where("ret is not null")
     even = F.col("key") % 2 == 0
