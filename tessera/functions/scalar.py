@@ -29,6 +29,29 @@ def known(x: Column) -> Column:
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)
 
 
+def half_away(x: Column, digits: int) -> Column:
+    """x rounded as SQL engines round doubles: scaled, to the nearest integer (halves away from 0), scaled back.
+
+    ``F.round`` rounds the shortest decimal of x instead, which differs where that ends in a 5 and the scaled double does not.
+    """
+    scale = 10.0**digits
+    return F.round(x * scale, 0) / scale
+
+
+def as_printed(x: Column, digits: int) -> Column:
+    """x rounded as C's printf does it: by the double's exact value, ties to even. For digits of 0 to 7.
+
+    ``F.format_string`` rounds the shortest decimal of x, halves up; given this value it only writes what is there. The
+    scaled value and its rounding error are exact together, so a scaled value that looks like a tie shows its side.
+    """
+    scale = 10.0**digits
+    scaled, spread = x * scale, x * 134217729.0
+    high = spread - (spread - x)
+    error = (high * scale - scaled) + (x - high) * scale
+    tie = scaled - F.floor(scaled) == 0.5
+    return F.rint(F.when(tie, scaled + 0.25 * F.signum(error)).otherwise(scaled)) / scale
+
+
 def month_number(date: Column) -> Column:
     """Months since year 0, so that neighbouring calendar months differ by 1."""
     return F.year(date) * 12 + F.month(date)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import as_printed, half_away
 from ..operators.regress import standard_params, standardize_with
 from ..operators.windows import filled, island, newest, ordered, trailing
 from .evaluation import factor_risk
@@ -210,13 +211,13 @@ def exceptions_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = lambda p: 2 + (c(p) - (1 - TAIL)) / TAIL
 
     def item(area: str, when: Column, text: Column, score: Column, direction: Column) -> Column:
-        return F.when(when, F.struct(F.lit(area).alias("area"), text.alias("message"), F.round(score, 4).alias("score"), direction.cast("int").alias("direction")))
+        return F.when(when, F.struct(F.lit(area).alias("area"), text.alias("message"), half_away(score, 4).alias("score"), direction.cast("int").alias("direction")))
 
     items = [
-        item("volatility", c("vol_pctile") >= 1 - TAIL, F.format_string("%d volatility %.1f%% a year, above %.0f%% of its history", "key", 100 * c("vol"), 100 * c("vol_pctile")), tail("vol_pctile"), F.lit(-1)),
-        item("drawdown", (c("dd_pctile") >= 1 - TAIL) & (c("drawdown") < -0.05), F.format_string("%d drawdown %.1f%%, deeper than %.0f%% of its history", "key", 100 * c("drawdown"), 100 * c("dd_pctile")), tail("dd_pctile"), F.lit(-1)),
-        item("move", F.abs("ret_3") >= 0.5, F.format_string("%d %+.1f%% over three months", "key", 100 * c("ret_3")), 5 * F.abs("ret_3"), F.signum("ret_3")),
-        item("market", F.abs("market_corr") >= 0.5, F.format_string("%d correlation with the market %.2f", "key", "market_corr"), 5 * F.abs("market_corr"), F.signum("market_corr")),
+        item("volatility", c("vol_pctile") >= 1 - TAIL, F.format_string("%d volatility %.1f%% a year, above %.0f%% of its history", "key", as_printed(100 * c("vol"), 1), as_printed(100 * c("vol_pctile"), 0)), tail("vol_pctile"), F.lit(-1)),
+        item("drawdown", (c("dd_pctile") >= 1 - TAIL) & (c("drawdown") < -0.05), F.format_string("%d drawdown %.1f%%, deeper than %.0f%% of its history", "key", as_printed(100 * c("drawdown"), 1), as_printed(100 * c("dd_pctile"), 0)), tail("dd_pctile"), F.lit(-1)),
+        item("move", F.abs("ret_3") >= 0.5, F.format_string("%d %+.1f%% over three months", "key", as_printed(100 * c("ret_3"), 1)), 5 * F.abs("ret_3"), F.signum("ret_3")),
+        item("market", F.abs("market_corr") >= 0.5, F.format_string("%d correlation with the market %.2f", "key", as_printed(c("market_corr"), 2)), 5 * F.abs("market_corr"), F.signum("market_corr")),
     ]
     return risk.select("key", F.inline(F.array_compact(F.array(*items)))).select("area", "key", "message", "score", "direction")
 

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions.scalar import normal_p, par_bond_return, safe_div, two_sided_z
+from tessera.functions.scalar import as_printed, normal_p, par_bond_return, safe_div, two_sided_z
 from tessera.operators import allocate, risk
 from tessera.operators.learn import boosted_walk_forward
 from tessera.operators.joins import asof_join, span_join, trailing_sum
@@ -276,3 +276,10 @@ def test_boosted_walk_forward(spark):
     data["ends"] = data.p
     got = boosted_walk_forward(spark.createDataFrame(data), ["a", "b"], "y", "p", "ends", [0, 1, 3], trees=3).toPandas()
     assert sorted(got.p.unique()) == [1, 3] and ((got.score > 0.5) == (got.y > 0.5)).mean() > 0.95
+
+
+def test_printed_numbers_round_as_c_does(spark):
+    values = [0.565, 0.575, -0.565, 0.125, 0.375, 1.005, 2.675, 92.5, 93.5, 50.05, -50.05, 0.05, -0.04, -0.25, -0.5, 0.0, 123456.785, 99.95]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    for r in rows.select("x", *[F.format_string(f"%+.{d}f", as_printed(F.col("x"), d)).alias(f"d{d}") for d in (0, 1, 2)]).collect():
+        assert [r.d0, r.d1, r.d2] == [f"{r.x:+.{d}f}" for d in (0, 1, 2)]

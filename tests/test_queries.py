@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import models
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 PLAIN = [n for n in entry.queries() if not re.match(r"op\d+_", n) and n != "pipeline"]
@@ -66,3 +67,15 @@ def test_no_query_pairs_everything(spark, sf):
 def test_filters_and_columns_reach_the_scan(spark, sf):
     plan = entry.queries()["scan_partition_range"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan and "l_comment" not in plan and "l_extendedprice" not in plan
+
+
+def test_messages_and_scores_at_ties_equal_the_sql(spark, tmp_path, monkeypatch):
+    """Shares like 0.925 and correlations like 0.565 are ties that engines round by different rules."""
+    shares, corrs, moves = [0.925, 0.975, 0.945055, 0.978495, 0.95], [0.565, -0.575, 0.50013, 0.56155, 0.7], [0.5005, -0.5055, 0.50013, 1.2345, -0.61]
+    rows = [(k, p, 0.28305 + k, -0.7325 - k / 1000, p, c, r) for k, (p, c, r) in enumerate(zip(shares, corrs, moves))]
+    risk = spark.createDataFrame(rows, "key long, vol_pctile double, vol double, drawdown double, dd_pctile double, market_corr double, ret_3 double")
+    risk.write.parquet(f"{tmp_path}/risk")
+    monkeypatch.setattr(models, "factor_risk", lambda spark, sf_dir: risk)
+    got = models.exceptions_board(spark, "").collect()
+    sql = entry.oracle_sql()["exceptions_board"].replace(entry.oracle_sql()["factor_risk"], f"SELECT * FROM '{tmp_path}/risk/*.parquet'")
+    assert sorted(map(tuple, got)) == sorted(duckdb.connect().sql(sql).fetchall())
