@@ -18,8 +18,10 @@ from .common import components, drop, hot_keys, lookup, stage
 SHINGLE, MINIMA = 8, 12
 #: Shingles hashed in one row of generated code.
 CHUNK = 8
-#: Tables of at most so many longs are broadcast.
+#: Tables of at most so many rows, of a few longs each, are broadcast.
 FEW = 250_000
+#: Words of 64 marks in a row of a table of marks (a power of two).
+MARKS = 16
 #: Lines and characters of one side of a block in the last search, about.
 BLOCK_ROWS, BLOCK_CHARS = 128, 250_000
 #: Longs of a bitmap (a power of two).
@@ -87,20 +89,32 @@ def _possible(n_a: Column, seen_a: Column, n_b: Column, seen_b: Column, percent:
     return (100 + percent) * differ <= (100 - percent) * (n_a + n_b)
 
 
-def bands(minima: Column) -> Column:
-    """The bands of a signature."""
-    return F.array(*[F.xxhash64(F.lit(n), *[minima[j] for j in t]) for n, t in enumerate(TRIPLES)])
+def bands(minima: Column, half: int | None = None) -> Column:
+    """The bands of a signature, or one half of them."""
+    own = [n for n in range(len(TRIPLES)) if half is None or n * 2 // len(TRIPLES) == half]
+    return F.array(*[F.xxhash64(F.lit(n), *[minima[j] for j in TRIPLES[n]]) for n in own])
 
 
 def _exploded(docs: DataFrame, own: list[str]) -> DataFrame:
     """doc_id, line_no (from 0), line, and line_key (null for lines of white space only)."""
     lines = docs.select("doc_id", *own, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.withColumn("line_key", F.when(F.col("line").rlike(r"[^\s]"), F.md5(F.col("line").cast("binary"))))
+    return lines.withColumn("line_key", F.when(F.col("line").rlike(r"[^\s]"), F.unhex(F.md5(F.col("line").cast("binary")))))
 
 
-def _few_or_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Rows of ``left`` (keys in any number) whose key is in ``right`` (each once): by broadcast for FEW of them at most."""
-    return left.join(F.broadcast(right) if right.limit(FEW + 1).count() <= FEW else right.hint("merge"), key)
+def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key, a line's number, is in the first column of ``ids``: by marks of a bit a line, so that wide rows need no shuffle.
+
+    Line numbers are dense within a file, so a row of marks stands for 64 * MARKS lines; FEW such rows are broadcast.
+    """
+    name = ids.columns[0]
+    word = [F.bit_or(F.when(F.expr(f"(`{name}` >> 6) & {MARKS - 1}") == j, F.expr(f"shiftleft(1L, cast(`{name}` & 63 as int))")).otherwise(F.lit(0).cast("long"))) for j in range(MARKS)]
+    bits = (64 * MARKS).bit_length() - 1
+    pages = ids.groupBy(F.expr(f"`{name}` >> {bits}").alias("_page")).agg(*[w.alias(f"w{j}") for j, w in enumerate(word)])
+    pages = stage(pages.select("_page", F.array(*[f"w{j}" for j in range(MARKS)]).alias("_words")), "merge")
+    paged = rows.withColumn("_page", F.expr(f"`{key}` >> {bits}"))
+    met = paged.join(F.broadcast(pages) if pages.limit(FEW + 1).count() <= FEW else pages.hint("merge"), "_page")
+    hit = F.expr(f"getbit(get(_words, cast((`{key}` >> 6) & {MARKS - 1} as int)), cast(`{key}` & 63 as int)) = 1")
+    return met.where(hit).select(*rows.columns)
 
 
 def _verified(texts: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -108,15 +122,18 @@ def _verified(texts: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int
 
     Bitmaps rule out what they can. The text of a c with many partners goes to several groups, each with a share of them.
     """
-    sized = pairs.join(facts.select(F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("seen").alias("seen_x")).hint("merge"), "x")
-    sized = lookup(sized, facts.select(F.col("node").alias("c"), F.col("n").alias("n_c"), F.col("seen").alias("seen_c")), "c")
+    of_x, of_c = _marked(facts, pairs.select("x"), "node"), _marked(facts, pairs.select("c"), "node")
+    sized = pairs.join(of_x.select(F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("seen").alias("seen_x")).hint("merge"), "x")
+    hot = hot_keys(pairs.groupBy("c").count(), "c", pairs.count())
+    sized = lookup(sized, of_c.select(F.col("node").alias("c"), F.col("n").alias("n_c"), F.col("seen").alias("seen_c")), "c", hot=hot)
     sized = stage(sized.select("x", "c", _possible(F.col("n_x"), F.col("seen_x"), F.col("n_c"), F.col("seen_c"), percent).alias("possible")), "merge")
     close = sized.where("possible").select("x", "c")
     counted = stage(close.groupBy("c").count().withColumn("ways", F.ceil(F.col("count") / 64).cast("int")), "merge")
+    texts_x, texts_c = _marked(texts, close.select("x"), "node"), _marked(texts, counted.select("c"), "node")
     spread = lookup(close, counted.select("c", "ways"), "c").withColumn("salt", F.pmod(F.xxhash64("x"), "ways").cast("int"))
-    left = spread.select("x", "c", "salt").join(texts.select(F.col("node").alias("x"), F.col("line").alias("a")).hint("merge"), "x")
+    left = spread.select("x", "c", "salt").join(texts_x.select(F.col("node").alias("x"), F.col("line").alias("a")).hint("merge"), "x")
     centers = counted.select("c", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt"))
-    right = centers.join(texts.select(F.col("node").alias("c"), F.col("line").alias("b")).hint("merge"), "c")
+    right = centers.join(texts_c.select(F.col("node").alias("c"), F.col("line").alias("b")).hint("merge"), "c")
     both = left.join(right.hint("merge"), ["c", "salt"])
     both = both.select("x", "c", shingles(F.col("a")).alias("a"), shingles(F.col("b")).alias("b"))
     both = both.withColumn("shared", F.size(F.array_intersect("a", "b")))
@@ -147,20 +164,17 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     named = found.where("line_key is not null")
     lines = stage(named.groupBy("line_key").agg(F.min("at").alias("node"), F.count("*").alias("count")))
     hot_lines = hot_keys(lines, "line_key", found.count())
-    firsts = lines.select(F.col("node").alias("at"))
-    reps = found.select("at", "line").join(firsts.hint("merge"), "at", "left_semi").withColumnRenamed("at", "node")
-    reps = stage(_signatures(reps))
+    reps = stage(_signatures(_marked(found.select(F.col("at").alias("node"), "line"), lines.select("node"), "node")))
     buckets = None
     for half in (0, 1):
-        keys = F.array_distinct(F.slice(bands(F.col("minima")), 1 + half * len(TRIPLES) // 2, len(TRIPLES) // 2))
-        spread = reps.select(F.col("node").alias("x"), F.explode(keys).alias("bucket"))
-        met = spread.groupBy("bucket").agg(F.min("x").alias("c"), F.max("x").alias("d"), F.bit_xor("x").alias("e"), F.count("*").alias("count"))
+        spread = reps.select(F.col("node").alias("x"), F.explode(bands(F.col("minima"), half)).alias("bucket"))
+        met = spread.repartition("bucket").groupBy("bucket").agg(F.min("x").alias("c"), F.max("x").alias("d"), F.bit_xor("x").alias("e"), F.count("*").alias("count"))
         met = stage(met.where("count > 1"))
         buckets = met if buckets is None else buckets.unionByName(met)
     two = buckets.where("count = 2").select(F.col("d").alias("x"), "c")
     three = buckets.where("count = 3").select("c", "d", F.col("c").bitwiseXOR(F.col("d")).bitwiseXOR(F.col("e")).alias("e"))
     large = buckets.where("count > 3").select("bucket", "c", "count")
-    spread = reps.select(F.col("node").alias("x"), F.explode(F.array_distinct(bands(F.col("minima")))).alias("bucket"))
+    spread = reps.select(F.col("node").alias("x"), F.explode(bands(F.col("minima"))).alias("bucket"))
     n_large, in_large = large.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     hot = hot_keys(large, "bucket", in_large)
     large = large.select("bucket", "c")
@@ -170,7 +184,11 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     pairs = two.unionByName(of_three).unionByName(members.where("x <> c").select("x", "c")).distinct()
     pairs = stage(pairs)
     wanted = stage(pairs.select(F.explode(F.array("x", "c")).alias("node")).distinct(), "merge")
-    texts = stage(_few_or_many(found.select(F.col("at").alias("node"), "line"), wanted, "node"), codec="zstd")
+    texts = stage(_marked(found.select(F.col("at").alias("node"), "line"), wanted, "node"), codec="zstd")
+    slim = stage(found.select("doc_id", *own, "line_no", "line_key", "at"), codec="zstd")
+    drop(found)
+    all_reps, reps = reps, stage(_marked(reps, wanted, "node"))
+    drop(all_reps)
     facts = stage(_bitmaps(texts))
 
     links, tried, left = None, None, members
@@ -201,8 +219,9 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     classes = lines.where("count > 1") if roots is None else lines.join(roots, "node", "left").where("count > 1 or root is not null")
     root = F.col("node") if roots is None else F.coalesce("root", "node")
     classes = stage(classes.select("line_key", root.alias("root")))
-    slim = found.select("doc_id", *own, "line_no", "line_key", "at")
+    drop(lines, texts, facts, reps, members)
     rooted = stage(lookup(slim, classes, "line_key", "left", hot=hot_lines).select("doc_id", *own, "line_no", "at", "root"))
+    drop(slim, classes)
     heads = rooted.where("root is not null and doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "line_no", "at")).alias("first"))
     out = lookup(rooted, stage(heads), "root", "left")
     here = F.struct("doc_id", "line_no", "at")
@@ -244,6 +263,8 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
         return None
     busy = main.join(rest.select("bucket").distinct(), "bucket", "left_semi")
     there = stage(lookup(rooted, stage(busy, "merge"), "bucket", hot=hot).select("bucket", "x", "root", (F.col("root") != F.col("main")).alias("apart"), (F.col("x") == F.col("c")).alias("center")), "merge")
+    asked = stage(there.select(F.col("x").alias("node")).distinct(), "merge")
+    texts, facts, reps = (_marked(t, asked, "node") for t in (texts, facts, reps))
     sized = there.join(texts.select(F.col("node").alias("x"), F.length("line").alias("n")), "x")
     ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_CHARS)).cast("int")
     n_all = sized.groupBy("bucket").agg(ways.alias("n_all"))
@@ -257,8 +278,7 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
         return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), "apart", "center", F.lit(is_rest).alias("is_rest"))
 
     both = dealt(rest.withColumn("apart", F.lit(True)), "n_rest", "n_all", True).unionByName(dealt(there, "n_all", "n_rest", False))
-    asked = stage(there.select(F.col("x").alias("node")).distinct(), "merge")
-    known = facts.join(asked.hint("merge"), "node").join(reps.select("node", bands(F.col("minima")).alias("bands")).hint("merge"), "node")
+    known = facts.join(reps.select("node", bands(F.col("minima")).alias("bands")).hint("merge"), "node")
     known = stage(known.join(texts.hint("merge"), "node").withColumnRenamed("node", "x"))
     row = F.struct("is_rest", "apart", "center", "root", "bands", "seen", "n", "line")
     blocks = both.join(known.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
@@ -288,6 +308,7 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
     fits = _let(numbered, lambda others: F.transform("left", lambda a: F.transform(F.filter(others, lambda b: possible(a, b)), lambda b: b["j"])))
     found = _let(fits, links_of)
     merged = stage(blocks.select(F.explode(F.array_distinct(found)).alias("link")).select("link.*").distinct(), "merge")
+    drop(known, there, rest, rooted)
     return merged if merged.limit(1).count() else None
 
 

@@ -1,3 +1,4 @@
+import pathlib
 import random
 import re
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import lines, urls, vectors
+from tessera.llm.common import noting
 from tests.llm import helpers
 from tests.llm.helpers import ODD, alike, odd_documents
 
@@ -251,3 +253,26 @@ def test_pipeline_of_odd_rows(spark, sf):
     empty = odd_documents(spark).limit(0)
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, empty, sf).count() == 0
+
+
+@pytest.mark.parametrize("few", [lines.FEW, 0])
+def test_marks_keep_the_rows_whose_number_is_asked_for(spark, monkeypatch, few):
+    monkeypatch.setattr(lines, "FEW", few)
+    numbers = [*range(3000), *(2**33 + k for k in range(100)), 5 * 2**33 + 63, 5 * 2**33 + 64]
+    asked = {n for n in numbers if n % 7 == 0 or n % 64 == 63} | {2**40}
+    rows = spark.createDataFrame([(n, f"t{n}") for n in numbers], "node long, line string").repartition(3)
+    got = lines._marked(rows, spark.createDataFrame([(n,) for n in asked], "x long"), "node").collect()
+    assert sorted(map(tuple, got)) == [(n, f"t{n}") for n in sorted(asked & set(numbers))]
+
+
+def test_line_classes_leave_little_on_the_shared_disk(spark):
+    """Texts, signatures and sets are deleted once nothing reads them; what stays is slim."""
+    rng = random.Random(7)
+    rows = [(i, "\n".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz     ", k=200)) for _ in range(20))) for i in range(800)]
+    rows += [(i + 800, t.replace("a", "b", 1)) for i, t in rows[:200]]
+    paths = []
+    with noting(paths):
+        out = lines.line_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert out.where("not kept").count() == 200 * 20
+    left = sum(f.stat().st_size for p in paths for f in pathlib.Path(p.removeprefix("file:")).rglob("*.parquet"))
+    assert left < 0.25 * sum(len(t) for _, t in rows)
