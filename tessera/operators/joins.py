@@ -1,12 +1,18 @@
-"""Joins on time: as-of, spans and trailing ranges."""
+"""Joins on time (as-of, spans, trailing ranges) and overlaps of all pairs of a set."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Spans up to this size are broadcast; larger ones meet by key.
 BROADCAST_BYTES = 32 << 20
+#: Keys and weights in a block of ``overlaps``, about, and keys of one block compared at a time.
+BLOCK_KEYS, BLOCK_ROWS, STRIP = 2048, 200_000, 256
 
 
 def small(df: DataFrame) -> bool:
@@ -83,3 +89,62 @@ def trailing_sum(left: DataFrame, events: DataFrame, by: list[str], time: str, e
     w = Window.partitionBy(*by).orderBy(day).rangeBetween(-(days - 1), 0)
     summed = rows.withColumn(name, F.coalesce(F.sum("_value").over(w), F.lit(0.0)))
     return summed.where("_left is not null").select("_left.*", name)
+
+
+def _block_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b, overlap of the pairs of keys of two blocks (left, right: item, keys, weights), or of one block with itself."""
+
+    def side(items: pa.StructArray) -> tuple[np.ndarray, dict]:
+        keys, weights = items.field("keys"), items.field("weights")
+        own = np.unique(keys.flatten().to_numpy(zero_copy_only=False))
+        parts = zip(items.field("item").to_pylist(), keys, weights)
+        found = {}
+        for item, k, w in parts:
+            at = np.searchsorted(own, k.values.to_numpy())
+            order = np.argsort(at)
+            found[item] = at[order], w.values.to_numpy(zero_copy_only=False).astype(float)[order]
+        return own, found
+
+    for batch in batches:
+        for same, left, right in zip(batch["same"].to_pylist(), batch["left"], batch["right"]):
+            a, of_a = side(left.values)
+            b, of_b = (a, of_a) if same else side(right.values)
+            both = [(*of_a[item], *of_b[item]) for item in of_a if item in of_b]
+            for start in range(0, len(a), STRIP):
+                n = min(STRIP, len(a) - start)
+                total, met, known = np.zeros((n, len(b))), np.zeros((n, len(b)), bool), np.zeros((n, len(b)), bool)
+                for i, x, j, y in both:
+                    here = (i >= start) & (i < start + n)
+                    if not here.any():
+                        continue
+                    least = np.fmin.outer(x[here], y)
+                    rows, columns = i[here] - start, j
+                    at = ... if len(rows) == n and len(columns) == len(b) else np.ix_(rows, columns)
+                    total[at] += np.nan_to_num(least, nan=0.0)
+                    met[at] = True
+                    known[at] |= ~np.isnan(least)
+                i, j = np.nonzero(met & (a[start : start + n, None] < b[None, :]) if same else met)
+                x, y, value = a[start + i], b[j], total[i, j] * 1e6
+                value = np.trunc(value + np.copysign(0.5, value)) / 1e6
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(value, mask=~known[i, j])], ["a", "b", "overlap"])
+
+
+def overlaps(weights: DataFrame, key: str, item: str, weight: str) -> DataFrame:
+    """a, b, overlap for each two keys a < b (longs) that share an item: the sum over shared items of the smaller weight, to 6 digits.
+
+    ``weights`` has a (key, item) once. Keys are dealt to blocks and each two blocks meet once, so what is shuffled are the
+    weights, once a block; pairs are summed where they meet and go straight to the result. The smaller of a null and a
+    number is the number.
+    """
+    known = weights.select(F.col(key).cast("long").alias("key"), F.col(item).alias("item"), F.col(weight).cast("double").alias("weight")).where("key is not null and item is not null")
+    n_keys, n_rows = known.agg(F.count_distinct("key"), F.count("*")).first()
+    blocks = max(1, -(-n_keys // BLOCK_KEYS), -(-n_rows // BLOCK_ROWS))
+    dealt = known.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+    lists = dealt.groupBy("block", "item").agg(F.collect_list(F.struct("key", "weight")).alias("rows"))
+    lists = lists.groupBy("block").agg(F.collect_list(F.struct("item", F.col("rows.key").alias("keys"), F.col("rows.weight").alias("weights"))).alias("items"))
+    pairs = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
+    first = F.col("block") <= F.col("other")
+    pairs = pairs.groupBy(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    pairs = pairs.agg(F.first(F.when(first, F.col("items")), ignorenulls=True).alias("left"), F.first(F.when(F.col("block") >= F.col("other"), F.col("items")), ignorenulls=True).alias("right"))
+    pairs = pairs.where("left is not null and right is not null").select((F.col("i") == F.col("j")).alias("same"), "left", "right")
+    return pairs.mapInArrow(_block_overlaps, "a long, b long, overlap double")

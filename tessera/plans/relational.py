@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import par_bond_return
-from ..operators.joins import asof_join, span_join, trailing_sum
+from ..operators.joins import asof_join, overlaps, span_join, trailing_sum
 from ..operators.reshape import chain_roots, pivot_first, unpivot_known
 from ..operators.windows import compounded, enough, filled, island, newest, ordered, top_k, trailing
 from .panel import PANEL, RETS, panel, panel_sql, returns, table
@@ -401,12 +401,11 @@ def index_adds_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT a.fund AS a, b.fund AS b, round(sum(least(a.weight, b.weight)), 6) AS overlap FROM w a JOIN w b ON a.line = b.line AND a.fund < b.fund GROUP BY 1, 2""",
 )
 def holdings_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shared weight of each pair of funds: the sum over lines of the smaller weight."""
+    """Shared weight of each pair of funds: the sum over lines of the smaller weight, block by block."""
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     value = lines.groupBy(F.col("l_suppkey").alias("fund"), F.col("p_brand").alias("line")).agg(F.sum("l_extendedprice").alias("v"))
     weights = value.select("fund", "line", (F.col("v") / F.sum("v").over(Window.partitionBy("fund"))).alias("weight"))
-    a, b = weights.toDF("a", "line", "wa"), weights.toDF("b", "line", "wb")
-    return a.join(b, "line").where("a < b").groupBy("a", "b").agg(F.round(F.sum(F.least("wa", "wb")), 6).alias("overlap"))
+    return overlaps(weights, "fund", "line", "weight")
 
 
 @query(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import as_printed, normal_p, par_bond_return, safe_div, two_sided_z
 from tessera.operators import allocate, risk
 from tessera.operators.learn import boosted_walk_forward
-from tessera.operators.joins import asof_join, span_join, trailing_sum
+from tessera.operators import joins
+from tessera.operators.joins import asof_join, overlaps, span_join, trailing_sum
 from tessera.operators.regress import cross_section, eigenportfolios, newey_west, ridge, rolling_ridge, standardized
 from tessera.operators.reshape import chain_roots, unpivot_known
 from tessera.operators.robust import clipped, weighted_median
@@ -283,3 +284,21 @@ def test_printed_numbers_round_as_c_does(spark):
     rows = spark.createDataFrame([(v,) for v in values], "x double")
     for r in rows.select("x", *[F.format_string(f"%+.{d}f", as_printed(F.col("x"), d)).alias(f"d{d}") for d in (0, 1, 2)]).collect():
         assert [r.d0, r.d1, r.d2] == [f"{r.x:+.{d}f}" for d in (0, 1, 2)]
+
+
+def test_overlaps_in_blocks_shuffle_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BLOCK_KEYS", 7)
+    rng = np.random.default_rng(3)
+    held = {(int(k), f"i{int(i)}"): float(w) if w > 0.1 else None for k, i, w in zip(rng.integers(0, 40, 300), rng.integers(0, 25, 300), rng.random(300))}
+    rows = [(k, i, w) for (k, i), w in held.items()] + [(None, "i1", 0.5), (3, None, 0.5)]
+    out = overlaps(spark.createDataFrame(rows, "k long, i string, w double"), "k", "i", "w")
+    assert "HashAggregate(keys=[a" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for (a, i), x in held.items():
+        for (b, j), y in held.items():
+            if a < b and i == j:
+                least = [v for v in (x, y) if v is not None]
+                want.setdefault((a, b), []).extend([min(least)] if least else [])
+    got = {(r.a, r.b): r.overlap for r in out.collect()}
+    assert set(got) == set(want) and out.count() == len(want)
+    assert all(got[p] == (pytest.approx(sum(v), abs=1e-6) if v else None) for p, v in want.items())

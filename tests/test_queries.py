@@ -79,3 +79,8 @@ def test_messages_and_scores_at_ties_equal_the_sql(spark, tmp_path, monkeypatch)
     got = models.exceptions_board(spark, "").collect()
     sql = entry.oracle_sql()["exceptions_board"].replace(entry.oracle_sql()["factor_risk"], f"SELECT * FROM '{tmp_path}/risk/*.parquet'")
     assert sorted(map(tuple, got)) == sorted(duckdb.connect().sql(sql).fetchall())
+
+
+def test_pairs_of_funds_are_not_shuffled(spark, sf):
+    plan = entry.queries()["holdings_overlap"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan.split("MapInArrow")[0] and "MapInArrow" in plan
