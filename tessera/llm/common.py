@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 #: Keys with fewer rows than this are never hot.
 LEAST_HOT = 200
+#: Threads of each of the driver's pools that run exchanges.
+POOL_THREADS = 32
+#: Tables that the optimizer takes to be no larger than this are broadcast, which needs no count and no shuffle.
+SMALL_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, so that a Python worker holds a few MB of texts at a time however long they are."""
+    """Small Arrow batches, so that a Python worker holds a few MB of texts at a time however long they are.
+
+    Spark's driver starts a thread for each exchange until it has 1024, and each keeps its stack for a minute after its
+    moment of work. A few do; this has an effect only before the session's first exchange.
+    """
+    for pool in ("shuffleExchange", "broadcastExchange", "resultQueryStage"):
+        spark._jsparkSession.sessionState().conf().setConfString(f"spark.sql.{pool}.maxThreadThreshold", str(POOL_THREADS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4194304")
     return spark
@@ -75,11 +85,17 @@ def _collect_garbage(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def _much_garbage(spark: SparkSession) -> bool:
+    """Whether half of the driver's heap is taken; many small jobs would let it grow to its limit."""
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    return 2 * (heap.totalMemory() - heap.freeMemory()) > heap.maxMemory()
+
+
 def stage(df: DataFrame, slim: str = "", codec: str = "") -> DataFrame:
     """Writes a table to the shared folder and reads it again: cuts lineage, survives lost executors, keeps column pruning.
 
     Shuffle files that nothing refers to any more are dropped before and after a table that is not slim, rather than
-    whenever the driver happens to collect its garbage. ``codec`` is Parquet's compression for large texts. Slim tables are written as a sixteenth of the shuffle width in files: ``merge`` lets a writer take several partitions,
+    whenever the driver happens to collect its garbage, and whenever half of its heap is taken. ``codec`` is Parquet's compression for large texts. Slim tables are written as a sixteenth of the shuffle width in files: ``merge`` lets a writer take several partitions,
     for tables that are cheap to compute; ``deal`` shuffles the rows first, for those that are not.
     """
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
@@ -87,7 +103,7 @@ def stage(df: DataFrame, slim: str = "", codec: str = "") -> DataFrame:
         _noted[-1].append(path)
     files = max(2, partitions(df.sparkSession) // 16)
     out = df.coalesce(files) if slim == "merge" else df.repartition(files) if slim == "deal" else df
-    if not slim:
+    if not slim or _much_garbage(df.sparkSession):
         _collect_garbage(df.sparkSession)
     out.write.parquet(path, compression=codec or None)
     if not slim:
@@ -105,6 +121,12 @@ def drop(*tables: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small(df: DataFrame, most: int | None = None) -> bool:
+    """Whether the optimizer's estimate, for a staged table the size of its files, is at most SMALL_BYTES. No job runs."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= (SMALL_BYTES if most is None else most)
+
+
 def hot_keys(counted: DataFrame, key: str, total: int, count: str = "count") -> list:
     """The keys of a table of counts that hold more than 1/HOT_KEYS of the rows (at most HOT_KEYS of them)."""
     floor = max(LEAST_HOT, total // HOT_KEYS)
@@ -114,8 +136,11 @@ def hot_keys(counted: DataFrame, key: str, total: int, count: str = "count") ->
 def lookup(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot: list | None = None) -> DataFrame:
     """Joins ``left``, in which a key may hold most rows, with ``right``, which has slim rows and each key once.
 
-    Rows of hot keys meet the few right rows of these keys by broadcast (at most HOT_KEYS rows); all others shuffle.
+    A small right side is broadcast. Else rows of hot keys meet the few right rows of these keys by broadcast (at most
+    HOT_KEYS rows), and all others shuffle.
     """
+    if small(right):
+        return left.join(F.broadcast(right), key, how)
     if hot is None:
         hot = hot_keys(left.groupBy(key).count(), key, left.count())
     if not hot:
@@ -153,13 +178,13 @@ def components(edges: DataFrame) -> DataFrame:
     """
     links = edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct()
     links, labels = stage(links, "merge"), None
-    while links.count():
+    while not links.isEmpty():
         both = links.select(F.col("hi").alias("node"), F.col("lo").alias("to")).union(links.select("lo", "hi"))
         tree = stage(both.groupBy("node").agg(F.least(F.min("to"), F.col("node")).alias("root")), "merge")
         while True:
             above = tree.select(F.col("node").alias("root"), F.col("root").alias("top")).where("root <> top")
             moved = stage(above, "merge")
-            if not tree.join(moved, "root", "left_semi").limit(1).count():
+            if lookup(tree, moved, "root").isEmpty():
                 break
             jumped = lookup(tree, moved, "root", "left")
             old, tree = tree, stage(jumped.select("node", F.coalesce("top", "root").alias("root")), "merge")

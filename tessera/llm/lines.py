@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop, hot_keys, lookup, stage
+from .common import components, drop, hot_keys, lookup, small, stage
 
 SHINGLE, MINIMA = 8, 12
 #: Shingles hashed in one row of generated code.
@@ -112,7 +112,7 @@ def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     pages = ids.groupBy(F.expr(f"`{name}` >> {bits}").alias("_page")).agg(*[w.alias(f"w{j}") for j, w in enumerate(word)])
     pages = stage(pages.select("_page", F.array(*[f"w{j}" for j in range(MARKS)]).alias("_words")), "merge")
     paged = rows.withColumn("_page", F.expr(f"`{key}` >> {bits}"))
-    met = paged.join(F.broadcast(pages) if pages.limit(FEW + 1).count() <= FEW else pages.hint("merge"), "_page")
+    met = paged.join(F.broadcast(pages) if small(pages, 16 * FEW) or pages.limit(FEW + 1).count() <= FEW else pages.hint("merge"), "_page")
     hit = F.expr(f"getbit(get(_words, cast((`{key}` >> 6) & {MARKS - 1} as int)), cast(`{key}` & 63 as int)) = 1")
     return met.where(hit).select(*rows.columns)
 
@@ -196,7 +196,7 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
         if turn:
             pairs = left.where("x <> c").select("x", "c").distinct().join(tried.select("x", "c"), ["x", "c"], "left_anti")
             pairs = stage(pairs, "merge")
-        if not pairs.limit(1).count():
+        if pairs.isEmpty():
             break
         checked = _verified(texts, facts, pairs, percent)
         good = checked.where("linked").select("x", "c")
@@ -204,7 +204,7 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
         tried = checked if tried is None else tried.unionByName(checked)
         apart = stage(left.where("x <> c").join(good, ["x", "c"], "left_anti").select("bucket", "x"), "merge")
         left = stage(lookup(apart, apart.groupBy("bucket").agg(F.min("x").alias("c")), "bucket"), "merge")
-        if not left.limit(1).count():
+        if left.isEmpty():
             break
     roots = None
     if links is not None:
@@ -238,7 +238,7 @@ def _third_sides(three: DataFrame, tried: DataFrame, roots: DataFrame, texts: Da
         sides = sides.join(rooted.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")).hint("merge"), end, "left")
     apart = F.coalesce("root_c", "c") != F.coalesce("root_x", "x")
     pairs = stage(sides.where(apart).select("x", "c").join(tried.select("x", "c"), ["x", "c"], "left_anti"), "merge")
-    if not pairs.limit(1).count():
+    if pairs.isEmpty():
         return None
     return _verified(texts, facts, pairs, percent).where("linked").select(F.col("x").alias("a"), F.col("c").alias("b"))
 
@@ -259,7 +259,7 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
     main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("lines"))
     main = main.where((F.col("roots") > 1) & ((F.col("roots") < F.col("lines")) | (F.col("lines") > star_rounds + 1))).select("bucket", "main")
     rest = stage(lookup(rooted, stage(main, "merge"), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root", (F.col("x") == F.col("c")).alias("center")), "merge")
-    if not rest.limit(1).count():
+    if rest.isEmpty():
         return None
     busy = main.join(rest.select("bucket").distinct(), "bucket", "left_semi")
     there = stage(lookup(rooted, stage(busy, "merge"), "bucket", hot=hot).select("bucket", "x", "root", (F.col("root") != F.col("main")).alias("apart"), (F.col("x") == F.col("c")).alias("center")), "merge")
@@ -309,7 +309,7 @@ def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, tex
     found = _let(fits, links_of)
     merged = stage(blocks.select(F.explode(F.array_distinct(found)).alias("link")).select("link.*").distinct(), "merge")
     drop(known, there, rest, rooted)
-    return merged if merged.limit(1).count() else None
+    return None if merged.isEmpty() else merged
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
