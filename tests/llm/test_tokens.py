@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import fingerprints, mixing, packing, token_files
+from tessera.llm import fingerprints, mixing, packing, token_files, tokens
 from tessera.llm.common import shared_dir
 from tessera.llm.tokens import Encoder
 from tests.llm.helpers import ODD, WORD, odd_documents
@@ -50,6 +50,39 @@ def test_encoder_on_any_text(text):
 _ENCODER = Encoder(PATH)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abÀé'sretvmlld12 .,!\"\n\n  "), max_size=60), max_size=6))
+def test_encoder_on_texts_of_its_own_signs(texts):
+    assert _ENCODER.encode(texts) == [_ENCODER._whole([t])[0] for t in texts]
+
+
+@pytest.mark.parametrize("added", [False, True])
+def test_encoder_that_forgets_equals_the_library(monkeypatch, spark, sf, added):
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()]
+    texts += ["x" * 5000, "é" * 13 + " " + "é" * 12, "=" * 24 + " " * 30 + "\n" * 25 + "end", "'s're'tis can't '' 've", "a" * 24, " " + "b" * 24, "", " ", "\n", "a<|endoftext|>b"]
+    monkeypatch.setattr(tokens, "_MOST", 50)
+    monkeypatch.setattr(tokens, "_AT_ONCE", 37)
+    small = Encoder(PATH, added=added)
+    for _ in range(2):
+        assert small.encode(texts) == [small._whole([t])[0] for t in texts]
+
+
+def test_new_pieces_of_a_group_go_to_the_library_as_one_text(encoder):
+    class Counting:
+        def __init__(self, model):
+            self.model, self.n = model, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.n += len(texts)
+            return self.model.encode_batch_fast(texts, **options)
+
+    own = Encoder(PATH)
+    own.model = Counting(own.model)
+    texts = [f"Word{k}x, (q{k}) {k * 7}\"y{k}\" it's\nNext{k}!" for k in range(200)]
+    assert own.encode(texts) == encoder._whole(texts)
+    assert own.model.n <= 3
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=50))
 def test_ranks_round_trip(values):
