@@ -67,6 +67,14 @@ def test_encoder_that_forgets_equals_the_library(monkeypatch, spark, sf, added):
         assert small.encode(texts) == [small._whole([t])[0] for t in texts]
 
 
+def test_pieces_of_packed_documents_are_encoded_once_however_long_they_are():
+    own = Encoder(PATH)
+    texts = ["see " + "".join("abcdefghij"[k * j % 7] for j in range(100)) + f" and {'=' * (70 + k)}" for k in range(1, 30)]
+    first = own.encode(texts)
+    own.model = None
+    assert own.encode(texts) == first
+
+
 def test_new_pieces_of_a_group_go_to_the_library_as_one_text(encoder):
     class Counting:
         def __init__(self, model):
