@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .common import components, drop, hot_keys, lookup, small, stage
 
 SHINGLE, MINIMA = 8, 12
+#: Parts in which bands are shuffled, one after another, so that the disk holds one part at a time.
+PARTS = 4
 #: Shingles hashed in one row of generated code.
 CHUNK = 8
 #: Tables of at most so many rows, of a few longs each, are broadcast.
@@ -59,9 +61,12 @@ def _hashed(lines: DataFrame) -> DataFrame:
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """node and its ``minima``, for lines (node, line) whose partitioning by node saves the aggregation its shuffle."""
+    """node and its ``minima``, for lines (node, line) whose partitioning by node saves the aggregation its shuffle.
+
+    Of a minimum the upper half is kept: three of them tell bands apart, and candidates are verified anyway.
+    """
     minima = [F.min(F.least(*[F.col(f"h{k}").bitwiseXOR(F.lit(c)) for k in range(CHUNK)])).alias(f"m{j}") for j, c in enumerate(NEAREST_TO)]
-    return _hashed(lines).groupBy("node").agg(*minima).select("node", F.array(*[f"m{j}" for j in range(MINIMA)]).alias("minima"))
+    return _hashed(lines).groupBy("node").agg(*minima).select("node", F.array(*[F.shiftright(f"m{j}", 32).cast("int") for j in range(MINIMA)]).alias("minima"))
 
 
 def _bitmaps(lines: DataFrame) -> DataFrame:
@@ -89,9 +94,9 @@ def _possible(n_a: Column, seen_a: Column, n_b: Column, seen_b: Column, percent:
     return (100 + percent) * differ <= (100 - percent) * (n_a + n_b)
 
 
-def bands(minima: Column, half: int | None = None) -> Column:
-    """The bands of a signature, or one half of them."""
-    own = [n for n in range(len(TRIPLES)) if half is None or n * 2 // len(TRIPLES) == half]
+def bands(minima: Column, part: int | None = None) -> Column:
+    """The bands of a signature, or one of PARTS parts of them."""
+    own = [n for n in range(len(TRIPLES)) if part is None or n * PARTS // len(TRIPLES) == part]
     return F.array(*[F.xxhash64(F.lit(n), *[minima[j] for j in TRIPLES[n]]) for n in own])
 
 
@@ -166,8 +171,8 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     hot_lines = hot_keys(lines, "line_key", found.count())
     reps = stage(_signatures(_marked(found.select(F.col("at").alias("node"), "line"), lines.select("node"), "node")))
     buckets = None
-    for half in (0, 1):
-        spread = reps.select(F.col("node").alias("x"), F.explode(bands(F.col("minima"), half)).alias("bucket"))
+    for part in range(PARTS):
+        spread = reps.select(F.col("node").alias("x"), F.explode(bands(F.col("minima"), part)).alias("bucket"))
         met = spread.repartition("bucket").groupBy("bucket").agg(F.min("x").alias("c"), F.max("x").alias("d"), F.bit_xor("x").alias("e"), F.count("*").alias("count"))
         met = stage(met.where("count > 1"))
         buckets = met if buckets is None else buckets.unionByName(met)

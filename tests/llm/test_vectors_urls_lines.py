@@ -255,6 +255,14 @@ def test_pipeline_of_odd_rows(spark, sf):
         assert step(spark, empty, sf).count() == 0
 
 
+def test_bands_go_out_in_parts_and_minima_are_slim(spark):
+    texts = spark.createDataFrame([(k, f"line number {k} of some length") for k in range(50)], "node long, line string")
+    signed = lines._signatures(texts)
+    assert dict(signed.dtypes)["minima"] == "array<int>"
+    whole, *parts = signed.select(lines.bands(F.col("minima")), *[lines.bands(F.col("minima"), p) for p in range(lines.PARTS)]).first()
+    assert [b for part in parts for b in part] == whole and max(map(len, parts)) <= len(whole) // 4
+
+
 @pytest.mark.parametrize("few", [lines.FEW, 0])
 def test_marks_keep_the_rows_whose_number_is_asked_for(spark, monkeypatch, few):
     monkeypatch.setattr(lines, "FEW", few)
