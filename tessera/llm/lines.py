@@ -24,8 +24,8 @@ CHUNK = 8
 FEW = 250_000
 #: Words of 64 marks in a row of a table of marks (a power of two).
 MARKS = 16
-#: Lines and characters of one side of a block in the last search, about.
-BLOCK_ROWS, BLOCK_CHARS = 128, 250_000
+#: Lines of one side of a block in the last search, about; a line is some 400 bytes there, however long it is.
+BLOCK_ROWS = 512
 #: Longs of a bitmap (a power of two).
 WORDS = 32
 
@@ -122,17 +122,20 @@ def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return met.where(hit).select(*rows.columns)
 
 
-def _verified(texts: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, c) with linked: 100 * |A & B| >= percent * |A | B| for the sets of 64-bit hashes of all shingles of the two lines.
-
-    Bitmaps rule out what they can. The text of a c with many partners goes to several groups, each with a share of them.
-    """
+def _close(facts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, c) with possible: whether their bitmaps leave it open that they are ``percent`` alike."""
     of_x, of_c = _marked(facts, pairs.select("x"), "node"), _marked(facts, pairs.select("c"), "node")
     sized = pairs.join(of_x.select(F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("seen").alias("seen_x")).hint("merge"), "x")
     hot = hot_keys(pairs.groupBy("c").count(), "c", pairs.count())
     sized = lookup(sized, of_c.select(F.col("node").alias("c"), F.col("n").alias("n_c"), F.col("seen").alias("seen_c")), "c", hot=hot)
-    sized = stage(sized.select("x", "c", _possible(F.col("n_x"), F.col("seen_x"), F.col("n_c"), F.col("seen_c"), percent).alias("possible")), "merge")
-    close = sized.where("possible").select("x", "c")
+    return stage(sized.select("x", "c", _possible(F.col("n_x"), F.col("seen_x"), F.col("n_c"), F.col("seen_c"), percent).alias("possible")), "merge")
+
+
+def _linked(texts: DataFrame, close: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (x, c) with 100 * |A & B| >= percent * |A | B| for the sets of 64-bit hashes of all shingles of the two lines.
+
+    The text of a c with many partners goes to several groups, each with a share of them.
+    """
     counted = stage(close.groupBy("c").count().withColumn("ways", F.ceil(F.col("count") / 64).cast("int")), "merge")
     texts_x, texts_c = _marked(texts, close.select("x"), "node"), _marked(texts, counted.select("c"), "node")
     spread = lookup(close, counted.select("c", "ways"), "c").withColumn("salt", F.pmod(F.xxhash64("x"), "ways").cast("int"))
@@ -145,10 +148,10 @@ def _verified(texts: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int
     linked = 100 * F.col("shared") >= percent * (F.size("a") + F.size("b") - F.col("shared"))
     out = stage(both.select("x", "c", linked.alias("linked")), "deal")
     drop(counted)
-    return out.unionByName(sized.where("not possible").select("x", "c", F.lit(False).alias("linked")))
+    return out.where("linked").select("x", "c")
 
 
-def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row: str | None = None) -> DataFrame:
+def line_classes(docs: DataFrame, percent: int = 80, row: str | None = None) -> DataFrame:
     """Classes of alike lines in ``docs`` (doc_id long, text string): one row per line of every text.
 
     Returns doc_id, line_no, first_doc_id, first_line_no, kept. Two lines are linked if they are equal or their sets of
@@ -156,9 +159,9 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     by (doc_id, line_no) is kept. Lines are what line feeds separate; lines of white space only are kept and not
     compared. A null text has no lines; an empty one has one empty line.
 
-    Equal lines are merged before anything else. Members of a bucket are compared with its smallest line, those not
-    linked do so again among themselves, and what is still apart after ``star_rounds`` meets the rest of its bucket. A
-    pair at 80 % misses all bands about once in 650 times, one at 85 % once in 4,000, short lines less often.
+    Equal lines are merged before anything else. Members of a bucket are compared with its smallest line; then lines
+    outside their bucket's largest component meet all its lines of other components. A pair at 80 % misses all bands
+    about once in 650 times, one at 85 % once in 4,000, short lines less often.
 
     Rows that share a doc_id have lines of their own, and of a class one line stays, whichever rows it is in; with
     ``row``, the name of a column that tells rows apart, that is returned as well. Lines of a null doc_id are compared,
@@ -179,12 +182,12 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     two = buckets.where("count = 2").select(F.col("d").alias("x"), "c")
     three = buckets.where("count = 3").select("c", "d", F.col("c").bitwiseXOR(F.col("d")).bitwiseXOR(F.col("e")).alias("e"))
     large = buckets.where("count > 3").select("bucket", "c", "count")
-    spread = reps.select(F.col("node").alias("x"), F.explode(bands(F.col("minima"))).alias("bucket"))
+    spread = reps.select(F.col("node").alias("x"), F.posexplode(bands(F.col("minima"))).alias("band", "bucket"))
     n_large, in_large = large.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
     hot = hot_keys(large, "bucket", in_large)
     large = large.select("bucket", "c")
     members = stage(spread.join(F.broadcast(large), "bucket") if n_large <= FEW else lookup(spread, large, "bucket", hot=hot), "merge")
-    members = members.select("bucket", "x", "c")
+    members = members.select("bucket", "band", "x", "c")
     of_three = three.select("c", F.explode(F.array("d", "e")).alias("x")).select("x", "c")
     pairs = two.unionByName(of_three).unionByName(members.where("x <> c").select("x", "c")).distinct()
     pairs = stage(pairs)
@@ -196,31 +199,13 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     drop(all_reps)
     facts = stage(_bitmaps(texts))
 
-    links, tried, left = None, None, members
-    for turn in range(star_rounds):
-        if turn:
-            pairs = left.where("x <> c").select("x", "c").distinct().join(tried.select("x", "c"), ["x", "c"], "left_anti")
-            pairs = stage(pairs, "merge")
-        if pairs.isEmpty():
-            break
-        checked = _verified(texts, facts, pairs, percent)
-        good = checked.where("linked").select("x", "c")
-        links = good if links is None else links.unionByName(good)
-        tried = checked if tried is None else tried.unionByName(checked)
-        apart = stage(left.where("x <> c").join(good, ["x", "c"], "left_anti").select("bucket", "x"), "merge")
-        left = stage(lookup(apart, apart.groupBy("bucket").agg(F.min("x").alias("c")), "bucket"), "merge")
-        if left.isEmpty():
-            break
     roots = None
-    if links is not None:
-        links = links.select(F.col("x").alias("a"), F.col("c").alias("b"))
+    if not pairs.isEmpty():
+        links = _linked(texts, _close(facts, pairs, percent).where("possible").select("x", "c"), percent).select(F.col("x").alias("a"), F.col("c").alias("b"))
         roots = components(links)
-        more = [_third_sides(three, tried, roots, texts, facts, percent), _merged_in_blocks(members, roots, reps, texts, facts, percent, hot, star_rounds)]
-        more = [x for x in more if x is not None]
-        if more:
-            for x in more:
-                links = links.unionByName(x)
-            roots = components(links)
+        more = _still_close(members, three, pairs, roots, reps, facts, percent, hot)
+        if more is not None:
+            roots = components(links.unionByName(_linked(texts, more, percent).select(F.col("x").alias("a"), F.col("c").alias("b"))))
     classes = lines.where("count > 1") if roots is None else lines.join(roots, "node", "left").where("count > 1 or root is not null")
     root = F.col("node") if roots is None else F.coalesce("root", "node")
     classes = stage(classes.select("line_key", root.alias("root")))
@@ -235,86 +220,56 @@ def line_classes(docs: DataFrame, percent: int = 80, star_rounds: int = 3, row:
     return out.select("doc_id", *own, "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"), "kept")
 
 
-def _third_sides(three: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFrame, facts: DataFrame, percent: int) -> DataFrame | None:
-    """Links (a, b) between the two lines of buckets of three that their star did not compare, where components differ."""
-    rooted = roots.select("node", "root")
+def _third_sides(three: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (x, c) of the two lines of buckets of three that their star did not compare, where components differ."""
     sides = three.select(F.least("d", "e").alias("c"), F.greatest("d", "e").alias("x")).distinct()
     for end in ("c", "x"):
-        sides = sides.join(rooted.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")).hint("merge"), end, "left")
-    apart = F.coalesce("root_c", "c") != F.coalesce("root_x", "x")
-    pairs = stage(sides.where(apart).select("x", "c").join(tried.select("x", "c"), ["x", "c"], "left_anti"), "merge")
-    if pairs.isEmpty():
-        return None
-    return _verified(texts, facts, pairs, percent).where("linked").select(F.col("x").alias("a"), F.col("c").alias("b"))
-
-
-def _merged_in_blocks(members: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, facts: DataFrame, percent: int, hot: list, star_rounds: int) -> DataFrame | None:
-    """Links (a, b) between roots of different components that have alike lines in one bucket; None if nothing is left.
-
-    Of a bucket without links, of at most star_rounds + 1 lines, the stars have compared all. Lines outside their
-    bucket's largest component meet all lines of the bucket, in blocks of at most about BLOCK_ROWS lines a side; two such
-    lines meet once. A pair is compared in its smallest common bucket only, and not with that bucket's smallest line,
-    which the stars have compared with all; first by bitmaps, which rule out no alike pair, then on the sets of 64-bit
-    hashes of all shingles, made once for each line that some pair asks for. A block states which components meet, not
-    its pairs.
+        sides = sides.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")).hint("merge"), end, "left")
+    return stage(sides.where(F.coalesce("root_c", "c") != F.coalesce("root_x", "x")).select("x", "c"), "merge")
+
+
+def _still_close(members: DataFrame, three: DataFrame, tried: DataFrame, roots: DataFrame, reps: DataFrame, facts: DataFrame, percent: int, hot: list) -> DataFrame | None:
+    """Pairs (x, c) that share a bucket, are in different components, were not tried and may be alike; None if there are none.
+
+    Any link that the stars have not found is one of these. Lines outside their bucket's largest component (``apart``)
+    meet all its lines in a join within blocks of about BLOCK_ROWS lines a side, where generated code leaves the pairs
+    whose bitmaps are close. A pair of lines that are both apart is met from one side, one with the bucket's smallest
+    line never, and any pair in the first band that it shares only. Rows hold bitmaps and minima, no texts.
     """
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
-    rooted = stage(rooted.select("bucket", "x", "c", "root"), "merge")
+    rooted = stage(rooted.select("bucket", "band", "x", "root", (F.col("x") == F.col("c")).alias("center")), "merge")
     sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("lines"))
-    main = main.where((F.col("roots") > 1) & ((F.col("roots") < F.col("lines")) | (F.col("lines") > star_rounds + 1))).select("bucket", "main")
-    rest = stage(lookup(rooted, stage(main, "merge"), "bucket", hot=hot).where("root <> main").select("bucket", "x", "root", (F.col("x") == F.col("c")).alias("center")), "merge")
-    if rest.isEmpty():
-        return None
-    busy = main.join(rest.select("bucket").distinct(), "bucket", "left_semi")
-    there = stage(lookup(rooted, stage(busy, "merge"), "bucket", hot=hot).select("bucket", "x", "root", (F.col("root") != F.col("main")).alias("apart"), (F.col("x") == F.col("c")).alias("center")), "merge")
-    asked = stage(there.select(F.col("x").alias("node")).distinct(), "merge")
-    texts, facts, reps = (_marked(t, asked, "node") for t in (texts, facts, reps))
-    sized = there.join(texts.select(F.col("node").alias("x"), F.length("line").alias("n")), "x")
-    ways = F.ceil(F.greatest(F.count("*") / BLOCK_ROWS, F.sum("n") / BLOCK_CHARS)).cast("int")
-    n_all = sized.groupBy("bucket").agg(ways.alias("n_all"))
-    n_rest = sized.join(rest.select("bucket", "x"), ["bucket", "x"], "left_semi").groupBy("bucket").agg(ways.alias("n_rest"))
-    grid = stage(n_rest.join(n_all, "bucket"), "merge")
-
-    def dealt(side: DataFrame, own: str, other: str, is_rest: bool) -> DataFrame:
-        placed = lookup(side, grid, "bucket").withColumn("own", F.pmod(F.xxhash64("x"), own).cast("int"))
-        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        i, j = ("own", "other") if is_rest else ("other", "own")
-        return placed.select("bucket", "x", "root", F.col(i).alias("i"), F.col(j).alias("j"), "apart", "center", F.lit(is_rest).alias("is_rest"))
-
-    both = dealt(rest.withColumn("apart", F.lit(True)), "n_rest", "n_all", True).unionByName(dealt(there, "n_all", "n_rest", False))
-    known = facts.join(reps.select("node", bands(F.col("minima")).alias("bands")).hint("merge"), "node")
-    known = stage(known.join(texts.hint("merge"), "node").withColumnRenamed("node", "x"))
-    row = F.struct("is_rest", "apart", "center", "root", "bands", "seen", "n", "line")
-    blocks = both.join(known.hint("merge"), "x").groupBy("bucket", "i", "j").agg(F.collect_list(row).alias("rows"))
-    def possible(a: Column, b: Column) -> Column:
-        apart = ~a["center"] & ~b["center"] & F.when(b["apart"], a["root"] < b["root"]).otherwise(F.lit(True))
-        close = _let(a["seen"], lambda x: _let(b["seen"], lambda y: _possible(a["n"], x, b["n"], y, percent)))
-        first = F.array_min(F.array_intersect(a["bands"], b["bands"])) == F.col("bucket")
-        return apart & close & first
-
-    def alike(a: Column, b: Column) -> Column:
-        return F.exists(F.array(F.size(F.array_intersect(a, b))), lambda shared: 100 * shared >= percent * (F.size(a) + F.size(b) - shared))
-
-    def links_of(fits: Column) -> Column:
-        asked = F.array_distinct(F.flatten(fits))
-        sets = F.transform("right", lambda b, j: F.struct(b["root"].alias("root"), F.when(F.array_contains(asked, j), shingles(b["line"])).alias("s")))
-        return _let(sets, lambda others: F.flatten(F.transform("left", lambda a, i: of_one(a, F.get(fits, i), others))))
-
-    def of_one(a: Column, near: Column, others: Column) -> Column:
-        own = F.when(F.size(near) > 0, shingles(a["line"]))
-        roots = _let(own, lambda s: F.transform(F.filter(near, lambda j: alike(s, F.get(others, j)["s"])), lambda j: F.get(others, j)["root"]))
-        return F.transform(F.array_distinct(roots), lambda o: F.struct(a["root"].alias("a"), o.alias("b")))
-
-    blocks = blocks.select("bucket", F.filter("rows", lambda r: r["is_rest"]).alias("left"), F.filter("rows", lambda r: ~r["is_rest"]).alias("right"))
-    facts_of = ("apart", "center", "root", "bands", "seen", "n")
-    numbered = F.transform("right", lambda b, j: F.struct(j.alias("j"), *[b[c].alias(c) for c in facts_of]))
-    blocks = blocks.where((F.size("left") > 0) & (F.size("right") > 0))
-    fits = _let(numbered, lambda others: F.transform("left", lambda a: F.transform(F.filter(others, lambda b: possible(a, b)), lambda b: b["j"])))
-    found = _let(fits, links_of)
-    merged = stage(blocks.select(F.explode(F.array_distinct(found)).alias("link")).select("link.*").distinct(), "merge")
-    drop(known, there, rest, rooted)
-    return None if merged.isEmpty() else merged
+    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("lines"))
+    ways = [F.ceil(n / BLOCK_ROWS).cast("int").alias(name) for n, name in ((F.col("lines") - F.col("most"), "n_rest"), (F.col("lines"), "n_all"))]
+    grid = stage(main.where("most < lines").select("bucket", "main", *ways), "merge")
+    there = lookup(rooted, grid, "bucket", hot=hot).withColumn("apart", F.col("root") != F.col("main")).where("not center").drop("center", "main")
+    there = stage(there.withColumn("own", F.xxhash64("x")), "merge")
+    asked = there.select(F.col("x").alias("node"))
+    known = _marked(facts, asked, "node").join(_marked(reps, asked, "node").hint("merge"), "node")
+    words = [F.coalesce(F.get("seen", F.lit(j)), F.lit(0).cast("long")).alias(f"s{j}") for j in range(WORDS)]
+    known = stage(known.select(F.col("node").alias("x"), "n", *words, *[F.coalesce(F.get("minima", F.lit(j)), F.lit(0)).alias(f"m{j}") for j in range(MINIMA)]))
+
+    def dealt(side: DataFrame, own: str, other: str, i: str, j: str) -> DataFrame:
+        placed = side.withColumn(i, F.pmod("own", own).cast("int")).withColumn(j, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        full = placed.select("bucket", "i", "j", "band", "x", "root", "apart").join(known.hint("merge"), "x")
+        words = [F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in full.dtypes if c not in ("bucket", "i", "j", "apart")]
+        return full.select("bucket", "i", "j", F.coalesce("apart", F.lit(False)).alias("apart"), *words)
+
+    a, b = dealt(there.where("apart"), "n_rest", "n_all", "i", "j").alias("a"), dealt(there, "n_all", "n_rest", "j", "i").alias("b")
+    differ = [F.bit_count(F.col(f"a.s{j}").bitwiseXOR(F.col(f"b.s{j}"))) for j in range(WORDS)]
+    most = (100 - percent) * (F.col("a.n") + F.col("b.n"))
+    few, all_words = ((100 + percent) * reduce(lambda x, y: x + y, d) <= most for d in (differ[: WORDS // 4], differ))
+    before = [reduce(lambda x, y: x & y, [F.col("a.band") > n, *[F.col(f"a.m{j}") == F.col(f"b.m{j}") for j in t]]) for n, t in enumerate(TRIPLES)]
+    unlike = F.when(F.col("b.apart"), F.col("a.root") < F.col("b.root")).otherwise(F.col("a.root") != F.col("b.root"))
+    met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
+    found = a.hint("merge").join(b, met & unlike & few & all_words & ~reduce(lambda x, y: x | y, before))
+    found = stage(found.select(F.greatest("a.x", "b.x").alias("x"), F.least("a.x", "b.x").alias("c")), "merge")
+    sides = _third_sides(three, roots)
+    if not sides.isEmpty():
+        found = found.unionByName(_close(facts, sides, percent).where("possible").select("x", "c"))
+    found = stage(found.distinct().join(tried.select("x", "c"), ["x", "c"], "left_anti"), "merge")
+    drop(known, there, rooted)
+    return None if found.isEmpty() else found
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
