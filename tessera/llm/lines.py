@@ -63,10 +63,12 @@ def _hashed(lines: DataFrame) -> DataFrame:
 def _signatures(lines: DataFrame) -> DataFrame:
     """node and its ``minima``, for lines (node, line) whose partitioning by node saves the aggregation its shuffle.
 
-    Of a minimum the upper half is kept: three of them tell bands apart, and candidates are verified anyway.
+    Of hashes and constants the upper halves are compared, which the shuffle packs better: three of them tell bands
+    apart, and candidates are verified anyway.
     """
-    minima = [F.min(F.least(*[F.col(f"h{k}").bitwiseXOR(F.lit(c)) for k in range(CHUNK)])).alias(f"m{j}") for j, c in enumerate(NEAREST_TO)]
-    return _hashed(lines).groupBy("node").agg(*minima).select("node", F.array(*[F.shiftright(f"m{j}", 32).cast("int") for j in range(MINIMA)]).alias("minima"))
+    halves = _hashed(lines).select("node", *[F.shiftright(f"h{k}", 32).cast("int").alias(f"h{k}") for k in range(CHUNK)])
+    minima = [F.min(F.least(*[F.col(f"h{k}").bitwiseXOR(F.lit(c >> 32).cast("int")) for k in range(CHUNK)])).alias(f"m{j}") for j, c in enumerate(NEAREST_TO)]
+    return halves.groupBy("node").agg(*minima).select("node", F.array(*[f"m{j}" for j in range(MINIMA)]).alias("minima"))
 
 
 def _bitmaps(lines: DataFrame) -> DataFrame:
@@ -228,39 +230,56 @@ def _third_sides(three: DataFrame, roots: DataFrame) -> DataFrame:
     return stage(sides.where(F.coalesce("root_c", "c") != F.coalesce("root_x", "x")).select("x", "c"), "merge")
 
 
+def _placed(there: DataFrame) -> DataFrame:
+    """Lines with their block: n_rest blocks of lines that are apart; the others fill up the last of these and the rest of n_all."""
+    own = F.xxhash64("x")
+    block = F.when(F.col("apart"), F.pmod(own, "n_rest")).otherwise(F.col("n_rest") - 1 + F.pmod(own, F.col("n_all") - F.col("n_rest") + 1))
+    return there.withColumn("block", block.cast("int"))
+
+
+def _dealt(there: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of blocks i and j of a bucket, i <= j: lines that are apart, and all lines."""
+
+    def side(lines: DataFrame, own: str, other: str, first: Column, last: Column) -> DataFrame:
+        dealt = lines.withColumn(own, F.col("block")).withColumn(other, F.explode(F.sequence(first, last)))
+        return dealt.select("bucket", "i", "j", "band", "x", "root", "apart")
+
+    a = side(there.where("apart"), "i", "j", F.col("block"), F.col("n_all") - 1)
+    return a, side(there, "j", "i", F.lit(0), F.least(F.col("block"), F.col("n_rest") - 1))
+
+
 def _still_close(members: DataFrame, three: DataFrame, tried: DataFrame, roots: DataFrame, reps: DataFrame, facts: DataFrame, percent: int, hot: list) -> DataFrame | None:
     """Pairs (x, c) that share a bucket, are in different components, were not tried and may be alike; None if there are none.
 
     Any link that the stars have not found is one of these. Lines outside their bucket's largest component (``apart``)
     meet all its lines in a join within blocks of about BLOCK_ROWS lines a side, where generated code leaves the pairs
-    whose bitmaps are close. A pair of lines that are both apart is met from one side, one with the bucket's smallest
-    line never, and any pair in the first band that it shares only. Rows hold bitmaps and minima, no texts.
+    whose bitmaps are close. Two blocks of lines that are apart meet once, not from both sides; the bucket's smallest line
+    is in no block, and any pair is left in the first band that it shares only. Rows hold bitmaps and minima, no texts.
     """
     rooted = lookup(members, roots.select(F.col("node").alias("x"), "root"), "x", "left", hot=[]).withColumn("root", F.coalesce("root", "x"))
     rooted = stage(rooted.select("bucket", "band", "x", "root", (F.col("x") == F.col("c")).alias("center")), "merge")
-    sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("lines"))
-    ways = [F.ceil(n / BLOCK_ROWS).cast("int").alias(name) for n, name in ((F.col("lines") - F.col("most"), "n_rest"), (F.col("lines"), "n_all"))]
-    grid = stage(main.where("most < lines").select("bucket", "main", *ways), "merge")
+    sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum((~F.col("center")).cast("long")).alias("own"))
+    main = sizes.groupBy("bucket").agg(F.max_by(F.struct("root", "own"), F.struct("n", "root")).alias("main"), F.sum("own").alias("lines"))
+    ways = [F.ceil(n / BLOCK_ROWS).cast("int").alias(name) for n, name in ((F.col("lines") - F.col("main.own"), "n_rest"), (F.col("lines"), "n_all"))]
+    grid = stage(main.select("bucket", F.col("main.root").alias("main"), *ways).where("n_rest > 0"), "merge")
     there = lookup(rooted, grid, "bucket", hot=hot).withColumn("apart", F.col("root") != F.col("main")).where("not center").drop("center", "main")
-    there = stage(there.withColumn("own", F.xxhash64("x")), "merge")
+    there = stage(_placed(there), "merge")
     asked = there.select(F.col("x").alias("node"))
     known = _marked(facts, asked, "node").join(_marked(reps, asked, "node").hint("merge"), "node")
     words = [F.coalesce(F.get("seen", F.lit(j)), F.lit(0).cast("long")).alias(f"s{j}") for j in range(WORDS)]
     known = stage(known.select(F.col("node").alias("x"), "n", *words, *[F.coalesce(F.get("minima", F.lit(j)), F.lit(0)).alias(f"m{j}") for j in range(MINIMA)]))
 
-    def dealt(side: DataFrame, own: str, other: str, i: str, j: str) -> DataFrame:
-        placed = side.withColumn(i, F.pmod("own", own).cast("int")).withColumn(j, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        full = placed.select("bucket", "i", "j", "band", "x", "root", "apart").join(known.hint("merge"), "x")
-        words = [F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in full.dtypes if c not in ("bucket", "i", "j", "apart")]
-        return full.select("bucket", "i", "j", F.coalesce("apart", F.lit(False)).alias("apart"), *words)
+    def full(side: DataFrame) -> DataFrame:
+        met = side.join(known.hint("merge"), "x")
+        words = [F.coalesce(c, F.lit(0).cast(kind)).alias(c) for c, kind in met.dtypes if c not in ("bucket", "i", "j", "apart")]
+        return met.select("bucket", "i", "j", F.coalesce("apart", F.lit(False)).alias("apart"), *words)
 
-    a, b = dealt(there.where("apart"), "n_rest", "n_all", "i", "j").alias("a"), dealt(there, "n_all", "n_rest", "j", "i").alias("b")
+    a, b = (full(side).alias(name) for side, name in zip(_dealt(there), "ab", strict=True))
     differ = [F.bit_count(F.col(f"a.s{j}").bitwiseXOR(F.col(f"b.s{j}"))) for j in range(WORDS)]
     most = (100 - percent) * (F.col("a.n") + F.col("b.n"))
     few, all_words = ((100 + percent) * reduce(lambda x, y: x + y, d) <= most for d in (differ[: WORDS // 4], differ))
     before = [reduce(lambda x, y: x & y, [F.col("a.band") > n, *[F.col(f"a.m{j}") == F.col(f"b.m{j}") for j in t]]) for n, t in enumerate(TRIPLES)]
-    unlike = F.when(F.col("b.apart"), F.col("a.root") < F.col("b.root")).otherwise(F.col("a.root") != F.col("b.root"))
+    unlike = F.when((F.col("a.i") == F.col("a.j")) & F.col("b.apart"), F.col("a.root") < F.col("b.root")).otherwise(F.col("a.root") != F.col("b.root"))
     met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
     found = a.hint("merge").join(b, met & unlike & few & all_words & ~reduce(lambda x, y: x | y, before))
     found = stage(found.select(F.greatest("a.x", "b.x").alias("x"), F.least("a.x", "b.x").alias("c")), "merge")

@@ -1,6 +1,7 @@
 import pathlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -273,6 +274,22 @@ def test_marks_keep_the_rows_whose_number_is_asked_for(spark, monkeypatch, few):
     assert sorted(map(tuple, got)) == [(n, f"t{n}") for n in sorted(asked & set(numbers))]
 
 
+def test_blocks_of_lines_meet_once(spark):
+    """Every pair with a line that is apart meets in one block, and lines apart are not dealt to blocks from both sides."""
+    for n_apart, n_main, n_rest, n_all in ((400, 0, 10, 10), (60, 90, 3, 7), (5, 30, 1, 1)):
+        rows = [(7, 0, x, x if x < n_apart else -1, x < n_apart, n_rest, n_all) for x in range(n_apart + n_main)]
+        there = spark.createDataFrame(rows, "bucket long, band int, x long, root long, apart boolean, n_rest int, n_all int")
+        a, b = (side.collect() for side in lines._dealt(lines._placed(there)))
+        met = Counter()
+        blocks = {}
+        for r in b:
+            blocks.setdefault((r.i, r.j), []).append(r)
+        for r in a:
+            met.update((min(r.x, s.x), max(r.x, s.x)) for s in blocks.get((r.i, r.j), []) if (r.root < s.root if r.i == r.j and s.apart else r.root != s.root))
+        assert met == {(x, y): 1 for x in range(n_apart) for y in range(x + 1, n_apart + n_main)}
+        assert len(a) + len(b) < 0.65 * (n_apart * n_all + (n_apart + n_main) * n_rest) or n_all < 10
+
+
 def test_line_classes_leave_little_on_the_shared_disk(spark):
     """Texts, signatures and sets are deleted once nothing reads them; what stays is slim."""
     rng = random.Random(7)
